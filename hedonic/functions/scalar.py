@@ -147,6 +147,24 @@ def nearest_value(ref, candidates: list[str]) -> Column:
     return F.array_min(F.array(*items))
 
 
+def seeded_hash(c, seed: int) -> Column:
+    """60-bit integer from md5(text(c) + '|' + seed): first 15 hex digits.
+
+    Stable across engines, partitionings and retries; DuckDB computes the same
+    number with ``('0x' || substr(md5(x), 1, 15))::BIGINT``.
+    """
+    text = F.concat(_c(c).cast("string"), F.lit(f"|{seed}"))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
+HASH_SPACE = 1 << 60
+
+
+def mix_hashes(a, b) -> Column:
+    """(a + b) mod 2**60 of two :func:`seeded_hash` values (no overflow)."""
+    return F.pmod(_c(a) + _c(b), F.lit(HASH_SPACE))
+
+
 def leading_number(c) -> Column:
     """First run of digits of a text as double; null when none (F8)."""
     digits = F.regexp_extract(_c(c).cast("string"), r"(\d+)", 1)
