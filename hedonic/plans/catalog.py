@@ -37,4 +37,4 @@ def load_all() -> dict[str, Query]:
     return REGISTRY
 
 
-MODULES = ["q_pairs", "q_clean"]
+MODULES = ["q_pairs", "q_clean", "q_slices"]
