@@ -61,7 +61,8 @@ def ingest_stream(spark: SparkSession, landing: str, out: str, quarantine: str,
     return w.start()
 
 
-def compact_shards(shards: DataFrame, date_col: str, key: str, span_days: int = 20) -> DataFrame:
+def compact_shards(shards: DataFrame, date_col: str, key: str, span_days: int = 20,
+                   tie_col: str | None = None) -> DataFrame:
     """Shard -> slice compaction (T4, W2): when the shards span more than
     ``span_days`` days, their rows (latest per key) form the next slice;
     otherwise nothing is emitted. The next slice number is assigned by the
@@ -70,7 +71,8 @@ def compact_shards(shards: DataFrame, date_col: str, key: str, span_days: int =
     span = shards.agg((F.datediff(F.max(F.col(date_col).cast("date")), F.min(F.col(date_col).cast("date"))))
                       .alias("_span"))
     ready = shards.crossJoin(F.broadcast(span)).where(F.col("_span") > span_days).drop("_span")
-    return dedup_latest(ready, key, date_col, "file_ts" if "file_ts" in shards.columns else None)
+    tie = tie_col or ("file_ts" if "file_ts" in shards.columns else None)
+    return dedup_latest(ready, key, date_col, tie)
 
 
 def score_stream(spark: SparkSession, landing: str, out: str, checkpoint: str, schema: T.StructType,
