@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,22 +39,26 @@ def get_spark(app: str = "hedonic", master: str | None = None,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if spark.sparkContext.master.startswith("local["):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is. Only when it is unset (local tests) a scratch folder is
-    created so ``checkpoint()`` works.
+    On a cluster ``spark.checkpoint.dir`` must point at storage that driver
+    and executors share; without it this raises instead of falling back to a
+    folder of one machine. Only with a local master (tests) a scratch folder
+    is made.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext._jsc.sc().getCheckpointDir()
         path = path.get() if path.isDefined() else None
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="hedonic-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -66,6 +71,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` under the shared checkpoint folder and read it back.
+
+    Every later read gets the same rows (ids included) and a lost executor
+    costs a re-read, not a recomputation of the lineage.
+    """
+    path = os.path.join(ensure_checkpoint_dir(df.sparkSession), f"hedonic-{uuid.uuid4().hex}")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bounded_broadcast(df: DataFrame, bound: int) -> DataFrame:
     """Broadcast a side whose row count is bounded by construction.
 
