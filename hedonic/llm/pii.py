@@ -44,7 +44,7 @@ ROUNDS = 3
 #: A pattern is trusted with this many distinct known instances and this share of known ones.
 SUPPORT, CONFIDENCE = 5, 0.9
 
-_BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_BYTE = r"(?:0++|0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?))"
 
 
 def running_sums(a: Column) -> Column:
