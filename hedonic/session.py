@@ -83,16 +83,14 @@ def materialise(df: DataFrame) -> DataFrame:
 
 
 def bounded_broadcast(df: DataFrame, bound: int) -> DataFrame:
-    """Broadcast a side whose row count is bounded by construction.
+    """Broadcast a side after counting it: at most ``bound`` rows.
 
-    ``bound`` documents the proof (e.g. 1 for a global aggregate, 100 for a
-    bin table, days-in-calendar for a distinct-date table). Sides whose size
-    grows with the data are never passed here; their join strategy is left
-    to Catalyst/AQE, which broadcast only under the measured size threshold.
+    A larger side is returned without a hint, so that Catalyst joins it by a
+    shuffle. Pass materialised or cheap sides, as counting runs them.
     """
     if bound <= 0:
         raise ValueError("bound must be positive")
-    return F.broadcast(df)
+    return F.broadcast(df) if df.count() <= bound else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
