@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from hedonic.llm import tokens
 from hedonic.llm.frames import open_frame
-from hedonic.session import materialise
+from hedonic.session import bounded_broadcast, materialise
 
 CAPACITY = 2048
 END_OF_TEXT = 1
@@ -312,9 +312,7 @@ def pack_documents(df: DataFrame, text: str = "text", tokenizer: str | None = No
     before = F.coalesce(F.sum("docs").over(Window.partitionBy("rest").orderBy("task")
                                            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     bases = counts.select("task", "rest", before.alias("rank_base")).join(tasks, "task")
-    if counts.count() <= BROADCAST_ROWS:
-        bases = F.broadcast(bases)
-    src = docs.join(bases, ["task", "rest"]).select(
+    src = docs.join(bounded_broadcast(bases, BROADCAST_ROWS), ["task", "rest"]).select(
         *kept, "ids", "rest", (F.col("rank") + F.col("rank_base")).alias("rank"),
         (F.col("full") + F.col("full_base") + packed.sequences).alias("full"), "n")
     schema = T.StructType([*src.select(*kept).schema.fields, T.StructField("start", T.LongType()),

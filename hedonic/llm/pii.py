@@ -38,6 +38,8 @@ CANDIDATE = r"(?<![A-Za-z0-9@._%+/-])[A-Za-z@._%+/-]*+[0-9][A-Za-z0-9@._%+/-]*+"
 TRIM = "._%+/-@"
 LEAST_CANDIDATE = 6
 
+#: Discovered spans that are broadcast at most (some 50 bytes each).
+BROADCAST_SPANS = 500_000
 #: Characters of context kept on each side of an occurrence.
 LEFT, RIGHT = 48, 24
 ROUNDS = 3
@@ -177,7 +179,7 @@ def score_patterns(pairs: DataFrame, rounds: int = ROUNDS, support: int = SUPPOR
 
 
 def discover(scanned: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(row, found): spans of candidates that stand in a trusted pattern and touch no base span."""
+    """(row, found): (start, end) of candidates that stand in a trusted pattern and touch no base span."""
     each = scanned.where(F.size("items") > 0).select("row", F.explode("items").alias("i")).select("row", "i.*")
     base = F.col("kind") != "token"
     ahead = Window.partitionBy("row").orderBy("start", "rank").rowsBetween(Window.unboundedPreceding, -1)
@@ -194,8 +196,7 @@ def discover(scanned: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     trusted = score_patterns(pairs, rounds)
     hits = each.where(~F.col("seed")).select("row", "start", "end", F.explode("patterns").alias("pattern")).join(
         trusted.select("pattern"), "pattern", "left_semi").select("row", "start", "end").distinct()
-    span = F.struct("start", F.lit(len(KINDS)).alias("rank"), F.lit(FOUND).alias("kind"), "end")
-    return hits.groupBy("row").agg(F.collect_list(span).alias("found"))
+    return hits.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("found"))
 
 
 def find_personal_data(df: DataFrame, text: str = "text", keep: list[str] | None = None,
@@ -212,12 +213,17 @@ def find_personal_data(df: DataFrame, text: str = "text", keep: list[str] | None
     src = inner.df.select(*inner.kept, F.col(inner.name(text)).alias("source"))
     scanned = add_occurrences(src, "source").drop("source")
     scanned = materialise(scanned.withColumn("row", F.monotonically_increasing_id()))
-    found = discover(scanned.select("row", "items"), rounds).withColumnRenamed("row", "at")
+    found = materialise(discover(scanned.select("row", "items"), rounds).withColumnRenamed("row", "at"))
+    # while the discovered spans are few they go to the texts, else the texts are shuffled
+    n = found.agg(F.sum(F.size("found"))).first()[0] or 0
+    found = F.broadcast(found) if n <= BROADCAST_SPANS else found
     spans = F.transform(F.filter("items", lambda x: x["kind"] != "token"), lambda x: F.struct(
         x["start"].alias("start"), x["rank"].alias("rank"), x["kind"].alias("kind"), x["end"].alias("end")))
     out = scanned.withColumn("base", F.array_sort(spans)).drop("items").join(found, F.col("row") == F.col("at"), "left")
+    added = F.transform("found", lambda x: F.struct(x["start"].alias("start"), F.lit(len(KINDS)).alias("rank"),
+                                                    F.lit(FOUND).alias("kind"), x["end"].alias("end")))
     none = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>")
-    out = out.withColumn("spans", F.array_sort(F.concat("base", F.coalesce("found", none))))
+    out = out.withColumn("spans", F.array_sort(F.concat("base", F.coalesce(added, none))))
     return inner.close(out, "base", "spans")
 
 

@@ -26,18 +26,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hedonic.llm.frames import open_frame
-from hedonic.session import materialise
+from hedonic.session import bounded_broadcast, materialise
 
 SHINGLE = 3
 DISTANCE = 3
 SEED = 42
 #: Fingerprints of one side compared at a time; bounds a task's memory whatever the group.
 TILE = 2048
+#: Row numbers that are broadcast at most (8 bytes each, some 32 in a hash table).
+BROADCAST_ROWS = 2_000_000
 #: Shingles whose bits are counted at a time.
 BLOCK = 1 << 15
 
@@ -294,7 +296,9 @@ def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **option
     rows = materialise(add_fingerprints(inner.df, inner.name(text), inner.kept, shingle)
                        .withColumn("row", F.monotonically_increasing_id()))
     found = classes(rows.select(key, "fp"), key, distance).select(F.col("fp").alias("of"), "root")
-    light = rows.select(F.col("row").alias("kept_row"), key, "fp").join(found, F.col("fp") == F.col("of"))
-    first = Window.partitionBy("root").orderBy(F.col(key).asc_nulls_last(), "kept_row")
-    one = light.withColumn("n", F.row_number().over(first)).where("n = 1").select("kept_row")
-    return inner.close(rows.join(one, F.col("row") == F.col("kept_row"), "left_semi"))
+    light = rows.select(F.col("row").alias("at"), F.col(key).alias("id"), "fp").join(found, F.col("fp") == F.col("of"))
+    first = light.groupBy("root").agg(F.count("*").alias("n"), F.min(F.struct(F.isnull("id"), "id", "at")).alias("first"))
+    drop = light.join(first.where("n > 1"), "root").where(F.col("at") != F.col("first.at")).select("at")
+    # a list of row numbers: while it is small it goes to the texts, else the texts are shuffled
+    drop = bounded_broadcast(materialise(drop), BROADCAST_ROWS)
+    return inner.close(rows.join(drop, F.col("row") == F.col("at"), "left_anti"))
