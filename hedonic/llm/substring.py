@@ -42,6 +42,8 @@ BLOCK_CHARS = 4_000_000
 SPAN = 1 << 20
 #: Bytes of hashes that one bucket holds on average.
 BUCKET_BYTES = 24_000_000
+#: Bytes of all answers up to which they are broadcast to the blocks.
+BROADCAST_BYTES = 64_000_000
 
 _POWERS = (W.Powers(0x27BB2EE687B0B0FD), W.Powers(0xB5026F5AA96619E9))
 _SALT = np.uint64(0xD6E8FEB86659FD93)
@@ -191,6 +193,13 @@ def flags_of(flags: list | None) -> np.ndarray:
     return np.concatenate([np.unpackbits(np.frombuffer(f["bits"], np.uint8), count=f["n"]) for f in flags]).astype(bool)
 
 
+def _near(answers: DataFrame) -> DataFrame:
+    """Answers on their way to the blocks: broadcast while all bitmaps are small, else joined by a shuffle."""
+    bits = F.aggregate("flags", F.lit(0).cast("long"), lambda s, f: s + f["n"])
+    total = answers.agg(F.sum(bits)).first()[0] or 0
+    return F.broadcast(answers) if total // 8 <= BROADCAST_BYTES else answers
+
+
 def _send_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()),
                                        pa.array([r[1] for r in rows], pa.int64()),
@@ -246,8 +255,9 @@ def remove_repeats(df: DataFrame, text: str = "text", window: int = WINDOW, peri
         _, _, place = distinct_hashes(h[:, None])
         return b.candidates(at[flags_of(flags)[place]] if len(at) else at, window, size)
 
+    marked = _near(marked)
     sent = plain.join(marked, "block").mapInArrow(windows, _SENT)
-    second = answer(sent, 2).withColumnRenamed("flags", "repeats")
+    second = _near(materialise(answer(sent, 2))).withColumnRenamed("flags", "repeats")
     final = blocks.select("block", "ids", "sizes", "data").join(marked, "block", "left").join(second, "block", "left")
     schema = T.StructType([*inner.df.select(*inner.kept).schema.fields, T.StructField("n_words", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
