@@ -38,7 +38,7 @@ DISTANCE = 3
 SEED = 42
 #: Fingerprints of one side compared at a time; bounds a task's memory whatever the group.
 TILE = 2048
-#: Row numbers that are broadcast at most (8 bytes each, some 32 in a hash table).
+#: Rows of small integers that are broadcast at most (some 32 bytes each in a hash table).
 BROADCAST_ROWS = 2_000_000
 #: Shingles whose bits are counted at a time.
 BLOCK = 1 << 15
@@ -184,7 +184,9 @@ def links(fps: DataFrame, distance: int = DISTANCE, tile: int = TILE) -> DataFra
     sizes = sizes.where((F.col("homes") > 0) & (F.col("all") > 1))
     parts = F.ceil(F.col("all") / tile).cast("int")
     homes = F.ceil(F.col("homes") / tile).cast("int")
-    placed = placed.join(sizes.select("anchor", homes.alias("k1"), parts.alias("k2")), "anchor")
+    # anchors where anything can meet: few of all, so that while they are few the copies are not shuffled again
+    sizes = materialise(sizes.select("anchor", homes.alias("k1"), parts.alias("k2")))
+    placed = placed.join(bounded_broadcast(sizes, BROADCAST_ROWS), "anchor")
     mine = F.pmod(F.xxhash64("fp"), F.col("k1")).cast("int")
     theirs = F.pmod(F.xxhash64("fp"), F.col("k2")).cast("int")
     # a home stands in every tile of its row, a visitor (homes visit too) in every tile of its column
