@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hedonic import schemas as S
-from hedonic.functions.scalar import squish, unit_key
+from hedonic.functions.scalar import squish, try_double, unit_key
 
 CONDO_STD_SHARE = 0.0315   # fixed value
 MANUAL_STD_SHARE = 0.03    # fixed value
@@ -43,7 +43,7 @@ def quantiles(sold: DataFrame, date_col: str = "Cd", tie_col: str = "_id", n: in
         F.percentile(lp, [0.35, 0.5, 0.75]).alias("_lpq"),
         F.percentile(F.col("Sp_dol").cast("double"), 0.3).alias("sp_q1"),
         F.percentile("ratio", [0.2, 0.45]).alias("_rq"),
-        F.percentile(F.when(F.col("ratio") > 0, F.col("Taxes").cast("double")), 0.35).alias("_tq"),
+        F.percentile(F.when(F.col("ratio") > 0, try_double("Taxes")), 0.35).alias("_tq"),
         F.count(F.lit(1)).alias("num"))
     r1, r2 = F.col("_rq")[0], F.col("_rq")[1]
     return agg.select(
@@ -89,7 +89,7 @@ def predict(listings: DataFrame, qtable: DataFrame, rules: DataFrame) -> DataFra
     """
     j = listings.join(rules, "key", "left").join(qtable, "key", "left")
     lp = F.col("Lp_dol").cast("double")
-    tax = F.col("Taxes").cast("double")
+    tax = try_double("Taxes")
     bump = ((lp <= F.col("lp_q1") * 0.85) & (lp > F.col("lp_q0")) & (F.col("tax_q1") != 0)
             & ((tax >= F.col("tax_q1") * 0.9) | (tax == 0)))
     lp1 = F.when(F.coalesce(bump, F.lit(False)), lp * 1.2).otherwise(lp)

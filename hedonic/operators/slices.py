@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hedonic.functions.scalar import seeded_hash
-from hedonic.operators.sampling import exact_hash_sample
+from hedonic.operators.sampling import exact_hash_flag
 from hedonic.session import bounded_broadcast
 
 SLICE_ANCHOR = "2000-01-01"  # fixed value: first slice start anchor
@@ -38,7 +38,8 @@ def day_to_slice(df: DataFrame, date_col: str, interval: int = 20, anchor: str =
         "ds", start0,
         lambda acc, x: F.when(F.datediff(x, F.element_at(acc, -1)) >= interval,
                               F.concat(acc, F.array(x))).otherwise(acc))
-    s = days.select("ds", F.slice(starts, 2, MAX_CALENDAR_DAYS).alias("starts"))
+    s = days.select("ds", starts.alias("starts")).select(  # all but the anchor
+        "ds", F.slice("starts", 2, F.greatest(F.size("starts") - 1, F.lit(0))).alias("starts"))
     # slice = number of starts on or before the day, +1 when days precede the first start
     pre = F.when((F.size("starts") == 0) | (F.element_at("ds", 1) < F.element_at("starts", 1)), 1).otherwise(0)
     mapped = s.select(F.explode(F.transform(
@@ -67,8 +68,8 @@ def slice_stats(sliced: DataFrame, date_col: str) -> DataFrame:
 
 
 def max_partition(df: DataFrame, col: str = "slice_id") -> DataFrame:
-    """Highest partition number, -1 when there is none."""
-    return df.agg(F.coalesce(F.max(F.col(col).cast("int")), F.lit(-1)).alias("max_slice"))
+    """Highest partition number, -1 when there is none; names that are no number are skipped."""
+    return df.agg(F.coalesce(F.max(F.col(col).try_cast("int")), F.lit(-1)).alias("max_slice"))
 
 
 def slice_range(df: DataFrame, lo: Column | int, hi: Column | int, col: str = "slice_id") -> DataFrame:
@@ -147,14 +148,13 @@ def split_by_time(df: DataFrame, date_col: str, id_col: str, fraction: float = 0
                                   .when(F.col("_before") < F.col("_k"), F.col("_k") - F.col("_before"))
                                   .otherwise(F.lit(0)).cast("long").alias("_take")))
     plan = bounded_broadcast(plan, MAX_CALENDAR_DAYS)
-    j = rows.join(plan, "_day")
-    whole = j.where(F.col("_take") == -1)
-    edge = j.where(F.col("_take") > 0)
+    j = rows.join(plan, "_day", "left").withColumn("_take", F.coalesce("_take", F.lit(0)))  # no day: among the older
     key = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"|{seed}")))
-    picked = exact_hash_sample(edge, ["_day"], key, F.col("_take"))
-    tail = whole.unionByName(picked).drop("_day", "_take")
-    head = rows.join(tail.select(id_col), id_col, "left_anti").drop("_day")
-    return head, tail
+    edge = exact_hash_flag(j.where(F.col("_take") > 0), ["_day"], key, F.col("_take"))
+    # every row is on one side, whatever ids repeat: the sides are filters over rows, not matches of ids
+    tail = j.where(F.col("_take") == -1).unionByName(edge.where("_in").drop("_in"))
+    head = j.where(F.col("_take") == 0).unionByName(edge.where("NOT _in").drop("_in"))
+    return head.drop("_day", "_take"), tail.drop("_day", "_take")
 
 
 def split_by_hash(df: DataFrame, id_col: str, train_pct: int = 80, seed: int = 42) -> tuple[DataFrame, DataFrame]:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,8 +64,8 @@ def read_slices(spark: SparkSession, path: str, lo: int | None = None, hi: int |
     empty frame with the given schema."""
     try:
         df = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - missing path: empty frame
-        if schema is None:
+    except AnalysisException as e:  # only a missing path is an empty table; a corrupt one is an error
+        if schema is None or e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
     if lo is not None:
@@ -92,7 +93,7 @@ def write_sparse_text(df: DataFrame, path: str, line_col: str = "line") -> None:
 def read_sparse_text(spark: SparkSession, path: str) -> DataFrame:
     """Sparse text scan (S12): label + array<struct<field,idx,val>>."""
     toks = spark.read.text(path).select(F.split(F.trim("value"), r"\s+").alias("t"))
-    feats = F.transform(F.slice("t", 2, 1 << 20), lambda s: F.struct(
+    feats = F.transform(F.slice("t", 2, F.greatest(F.size("t") - 1, F.lit(0))), lambda s: F.struct(
         F.split(s, ":").getItem(0).cast("int").alias("field"), F.split(s, ":").getItem(1).cast("int").alias("idx"),
         F.split(s, ":").getItem(2).cast("double").alias("val")))
     return toks.select(F.col("t")[0].cast("double").alias("label"), feats.alias("feats"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from hedonic.operators import clean as C
@@ -134,3 +135,40 @@ def test_chronological_split_sizes(spark):
     head, tail = L.split_by_time(o, "o_orderdate", "o_orderkey", 0.1)
     assert tail.count() == int(n * 0.1) and head.count() == n - int(n * 0.1)
     assert head.agg(F.max("o_orderdate")).first()[0] <= tail.agg(F.min("o_orderdate")).first()[0]
+
+
+def test_chronological_split_keeps_rows_of_repeated_ids(spark):
+    rows = [(i % 7, f"2020-01-{1 + i % 9:02d}" if i % 11 else None, i % 3) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, d string, x int").withColumn("d", F.col("d").cast("date"))
+    head, tail = L.split_by_time(df, "d", "id", 0.3)
+    assert tail.count() == 120
+    assert sorted(map(str, head.unionByName(tail).collect())) == sorted(map(str, df.collect()))
+
+
+def test_box_edges_that_round_two_cells_apart(spark):
+    df = spark.createDataFrame([(1, -62.019000000000005, 0.0), (2, -61.992000000000004, 0.0)],
+                               "_id long, lat double, lng double")
+    near = {r._id: r.nearby for r in R.nearby_count(df, df).collect()}
+    want = {a[0]: sum(a[1] - 0.027 <= b[1] <= a[1] + 0.027 for b in df.collect()) for a in df.collect()}
+    assert near == want
+
+
+def test_slice_reader_takes_only_a_missing_path_as_empty(spark, tmp_path):
+    from hedonic.sources import files as IO
+    schema = spark.range(1).withColumn("slice_id", F.lit(1)).schema
+    assert IO.read_slices(spark, str(tmp_path / "none"), schema=schema).count() == 0
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part-0.parquet").write_bytes(b"not parquet at all")
+    with pytest.raises(Exception):
+        IO.read_slices(spark, str(tmp_path / "bad"), schema=schema).count()
+
+
+def test_partition_names_that_are_no_number_are_skipped(spark):
+    df = spark.createDataFrame([("7",), ("x",), (None,), ("12",)], "slice_id string")
+    assert L.max_partition(df).first()[0] == 12
+
+
+def test_long_sparse_line_is_read_whole(spark, tmp_path):
+    from hedonic.sources import files as IO
+    (tmp_path / "t.txt").write_text("1.5 " + " ".join(f"0:{i}:1.0" for i in range(3000)))
+    assert IO.read_sparse_text(spark, str(tmp_path)).select(F.size("feats")).first()[0] == 3000
