@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hedonic import schemas as S
+from hedonic.functions.exact import exact_medians
 from hedonic.functions.scalar import leading_number
 from hedonic.session import bounded_broadcast
 
@@ -73,12 +74,11 @@ def fill_constants(df: DataFrame, none_cols=None, zero_cols=None, flag_col: str
 
 
 def fit_medians(df: DataFrame, cols: list[str], zero_rows: Column) -> DataFrame:
-    """Exact medians of ``cols`` over the rows that are not ``zero_rows``.
-
-    One global aggregate -> a one-row DataFrame (the fitted state).
-    """
+    """Exact medians of ``cols`` over the rows that are not ``zero_rows`` (A8),
+    by distributed selection -> a one-row DataFrame (the fitted state)."""
     rest = df.where(~F.coalesce(zero_rows, F.lit(False)))
-    return rest.agg(*[F.median(c).alias(f"{c}_median") for c in cols])
+    medians = exact_medians(rest, {f"{c}_median": F.col(c) for c in cols})
+    return df.sparkSession.range(1).select(*[F.lit(v).cast("double").alias(n) for n, v in medians.items()])
 
 
 def fill_conditional_median(df: DataFrame, cols: list[str], zero_rows: Column,

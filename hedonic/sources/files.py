@@ -6,6 +6,8 @@ shared folder the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import csv
+import re
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -23,22 +25,87 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/hedonic-io/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def glob_literal(path: str) -> str:
+    """The path as a pattern that matches itself only."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def decoded(col) -> F.Column:
+    """Percent-decoded file path; '+' stands for itself in a path."""
+    return F.url_decode(F.replace(col, F.lit("+"), F.lit("%2B")))
+
+
+def file_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, header, n_rows) of every text file: its first non-blank line (null where all
+    lines are blank; files of zero bytes are left out by Spark's listing) and the number of non-empty lines after it. One scan of the
+    lines; counts and first lines are partial aggregates, one row per file."""
+    listed = spark.read.format("binaryFile").load(paths).select(decoded(F.col("_metadata.file_path")).alias("path"))
+    lines = spark.read.text(paths).select(
+        decoded(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("n"), "value")
+    first = F.min(F.when(F.col("at") == 0, F.struct("n", "value")))
+    seen = lines.where(F.length(F.trim("value")) > 0).groupBy("path").agg(
+        first["value"].alias("header"), (F.count(F.lit(1)) - 1).alias("n_rows"))
+    return listed.join(seen, "path", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+
+
+def header_names(header: str | None) -> list[str]:
+    """Column names of a header line, without byte-order mark and outer blanks."""
+    return [n.strip() for n in next(csv.reader([(header or "").lstrip("\ufeff")]), [])]
+
+
+def _read_layout(spark: SparkSession, paths: list[str], names: list[str], schema: T.StructType) -> DataFrame:
+    """Files that share one header: read as text columns, picked by name, then
+    cast; an absent column or a value that does not parse is null."""
+    raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
+           .schema(T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))]))
+           .csv([glob_literal(p) for p in paths]))
+    cols = [F.col(f"_c{names.index(f.name)}").try_cast(f.dataType).alias(f.name) if f.name in names
+            else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return raw.select(*cols, decoded(F.col("_metadata.file_name")).alias("source_file"))
+
+
+def read_checked(spark: SparkSession, headers: DataFrame, schema: T.StructType,
+                 required: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Rows of the files that pass the gate, and (path, reason, n_rows) of the others.
+
+    ``headers`` comes from ``file_headers``. A file must hold every required
+    column in its header and at least one row. Files are read once per
+    distinct header, by column name, whatever their column order. The driver
+    holds file names and headers, as Spark's own file listing does, no rows.
+    """
+    headers = headers.persist()
+    layouts = headers.groupBy("header").agg(F.sort_array(F.collect_list(F.when(F.col("n_rows") > 0, F.col("path"))))
+                                            .alias("paths")).collect()
+    out = spark.createDataFrame([], T.StructType(list(schema.fields) + [T.StructField("source_file", T.StringType())]))
+    reason = F.when(F.col("header").isNull(), F.lit("no header"))
+    for lay in layouts:
+        names = header_names(lay["header"])
+        missing = [c for c in required if c not in names]
+        if lay["header"] is not None and missing:
+            reason = reason.when(F.col("header") == lay["header"], F.lit("missing: " + ",".join(missing)))
+        elif lay["header"] is not None and lay["paths"]:
+            out = out.unionByName(_read_layout(spark, lay["paths"], names, schema))
+    reason = reason.when(F.col("n_rows") == 0, F.lit("no rows"))
+    rejected = headers.select("path", reason.alias("reason"), "n_rows").where(F.col("reason").isNotNull())
+    return out, rejected
+
+
 def read_listings(spark: SparkSession, path: str, schema: T.StructType | None = None,
                   partitions: int | None = None) -> DataFrame:
-    """Header CSV scan (gzip or plain) with a fixed schema, tagged with the
-    source file name and its timestamp (S1, S4, X14). A directory or glob
-    reads every file, duplicates kept. Gzip files cannot be split, so the rows
-    are redistributed when ``partitions`` is given."""
-    df = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-          .schema(schema or S.raw_schema()).csv(path)
-          .withColumn("source_file", F.url_decode(F.col("_metadata.file_name"))))
+    """Header CSV scan (gzip or plain) by column name, tagged with the source
+    file name and its timestamp (S1, S2, S4, X14). Each file's own header
+    decides where its columns are. A directory or glob reads every file,
+    duplicates kept. Gzip files cannot be split, so the rows are redistributed
+    when ``partitions`` is given."""
+    df, _ = read_checked(spark, file_headers(spark, path), schema or S.raw_schema())
     df = df.withColumn("file_ts", file_timestamp("source_file"))
     return df.repartition(partitions) if partitions else df
 
 
 def read_distinct(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Directory union scan + whole-row distinct (S3)."""
-    return spark.read.option("header", True).schema(schema or S.raw_schema()).csv(path).distinct()
+    return read_listings(spark, path, schema).drop("source_file", "file_ts").distinct()
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:

@@ -1,8 +1,9 @@
 """Structured Streaming jobs.
 
-The landing folder is a file-stream source; each micro-batch is handled in
-``foreachBatch`` with the same DataFrame operators as the batch jobs, so
-late or re-delivered files are processed exactly once per checkpoint.
+The landing folder is a file-stream source that lists files; each
+micro-batch reads its files by their own headers with the batch readers and
+writes to folders named by the batch id, so that a batch which is run again
+after a failure replaces what it wrote before instead of adding to it.
 """
 
 from __future__ import annotations
@@ -13,50 +14,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hedonic.sources.files import name_kind, name_ts
+from hedonic.sources.files import decoded, file_headers, glob_literal, name_kind, name_ts, read_checked
 
 
-def file_stream(spark: SparkSession, landing: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
-    """Header-CSV file stream tagged with file name, feed and timestamp."""
-    r = spark.readStream.schema(schema).option("header", True)
+def file_stream(spark: SparkSession, landing: str, max_files: int | None = None,
+                archive: str | None = None) -> DataFrame:
+    """Stream of landing files (T1): path, modificationTime, length; contents
+    are pruned here. With ``archive``, finished files are moved there."""
+    r = spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length long, content binary")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    df = r.csv(landing).withColumn("source_file", F.url_decode(F.col("_metadata.file_name")))
-    return df.withColumn("feed", name_kind()).withColumn("file_ts", name_ts())
-
-
-def route_batch(batch: DataFrame, required: list[str], kind_of: Callable[[DataFrame], F.Column],
-                out: str, quarantine: str, clean: Callable[[DataFrame], DataFrame] | None = None) -> None:
-    """One micro-batch (T2, T3, T5): files whose required columns are all null
-    in every row (a column missing from the header) or whose name has no
-    known feed go to quarantine with the reason; the rest is cleaned and
-    appended partitioned by feed and kind."""
-    present = batch.groupBy("source_file").agg(
-        *[F.max(F.col(c).isNotNull().cast("int")).alias(f"_has_{i}") for i, c in enumerate(required)])
-    missing = F.array_compact(F.array(*[F.when(F.col(f"_has_{i}") == 0, F.lit(c)) for i, c in enumerate(required)]))
-    verdict = present.select("source_file", missing.alias("missing_cols"))
-    tagged = batch.join(verdict, "source_file")
-    bad = tagged.where((F.size("missing_cols") > 0) | F.col("feed").isNull())
-    good = tagged.where((F.size("missing_cols") == 0) & F.col("feed").isNotNull()).drop("missing_cols")
-    (bad.select("source_file", F.when(F.col("feed").isNull(), "bad name").otherwise(
-        F.concat(F.lit("missing: "), F.array_join("missing_cols", ","))).alias("reason"))
-        .distinct().write.mode("append").parquet(quarantine))
-    good = good.withColumn("kind", kind_of(good))
+    if archive:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return r.load(landing).select(decoded(F.col("_metadata.file_path")).alias("path"), "modificationTime", "length")
+
+
+def batch_rows(files: DataFrame, schema: T.StructType, required: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Rows of a micro-batch's files that pass the gate, tagged with feed and
+    timestamp, and (source_file, reason, n_rows) of the rejected files: a name
+    without a known feed, a required column absent from the header, no rows."""
+    spark = files.sparkSession
+    paths = [glob_literal(r["path"]) for r in files.select("path").collect()]   # at most maxFilesPerTrigger names
+    headers = file_headers(spark, paths)
+    name = F.substring_index("path", "/", -1)
+    headers = headers.withColumn("source_file", name).withColumn("feed", name_kind())
+    known = headers.where(F.col("feed").isNotNull()).select("path", "header", "n_rows")
+    rows, rejected = read_checked(spark, known, schema, required)
+    stray = headers.where(F.col("feed").isNull()).select("path", F.lit("bad name").alias("reason"), "n_rows")
+    rejected = rejected.unionByName(stray).select(name.alias("source_file"), "reason", "n_rows")
+    return rows.withColumn("feed", name_kind()).withColumn("file_ts", name_ts()), rejected
+
+
+def route_batch(files: DataFrame, batch_id: int, schema: T.StructType, required: list[str],
+                kind_of: Callable[[DataFrame], F.Column], out: str, quarantine: str,
+                clean: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """One micro-batch (T2, T3, T5): rejected files are listed with the reason
+    under ``quarantine``, the rows of the others are cleaned and written under
+    ``out`` by feed and kind; both in a folder of the batch id, overwritten when
+    the batch is run again."""
+    rows, rejected = batch_rows(files, schema, required)
+    rejected.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+    rows = rows.withColumn("kind", kind_of(rows))
     if clean is not None:
-        good = clean(good)
-    good.write.mode("append").partitionBy("feed", "kind").parquet(out)
+        rows = clean(rows)
+    rows.write.mode("overwrite").partitionBy("feed", "kind").parquet(f"{out}/batch={batch_id}")
 
 
 def ingest_stream(spark: SparkSession, landing: str, out: str, quarantine: str, checkpoint: str,
                   schema: T.StructType, required: list[str], kind_of: Callable[[DataFrame], F.Column],
                   clean: Callable[[DataFrame], DataFrame] | None = None, available_now: bool = True,
-                  interval: str = "60 seconds"):
+                  interval: str = "60 seconds", max_files: int | None = None, archive: str | None = None):
     """Continuous ingest (T1-T3, T5): poll the landing folder (every
     ``interval``, or drain it once with ``available_now``), validate, route,
-    clean and append. Returns the started query."""
-    src = file_stream(spark, landing, schema)
+    clean and write. Returns the started query."""
+    src = file_stream(spark, landing, max_files, archive)
     w = (src.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, _epoch: route_batch(df, required, kind_of, out, quarantine, clean)))
+         .foreachBatch(lambda df, n: route_batch(df, n, schema, required, kind_of, out, quarantine, clean)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
 
@@ -78,11 +92,13 @@ def compact_shards(shards: DataFrame, date_col: str, key: str, span_days: int =
 def score_stream(spark: SparkSession, landing: str, out: str, checkpoint: str, schema: T.StructType,
                  scorer: Callable[[DataFrame], DataFrame], available_now: bool = True):
     """Continuous scoring (T7): listing files -> ``scorer`` (static models
-    joined inside the batch) -> results partitioned by file timestamp."""
-    src = file_stream(spark, landing, schema)
+    joined inside the batch) -> results by file timestamp, in a folder of the
+    batch id that a repeated batch overwrites."""
+    src = file_stream(spark, landing)
 
-    def batch(df, _epoch):
-        scorer(df).write.mode("append").partitionBy("file_ts").parquet(out)
+    def batch(files, batch_id):
+        rows, _ = batch_rows(files, schema)
+        scorer(rows).write.mode("overwrite").partitionBy("file_ts").parquet(f"{out}/batch={batch_id}")
     w = src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")
     return w.start()

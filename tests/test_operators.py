@@ -172,3 +172,19 @@ def test_long_sparse_line_is_read_whole(spark, tmp_path):
     from hedonic.sources import files as IO
     (tmp_path / "t.txt").write_text("1.5 " + " ".join(f"0:{i}:1.0" for i in range(3000)))
     assert IO.read_sparse_text(spark, str(tmp_path)).select(F.size("feats")).first()[0] == 3000
+
+
+@pytest.mark.parametrize("limit", [1, 40, 1 << 20])
+def test_exact_medians_equal_sorting(spark, limit):
+    import random
+
+    from hedonic.functions.exact import exact_medians
+    rnd = random.Random(3)
+    rows = [(rnd.gauss(0, 1), float(rnd.randrange(4)), None if k % 3 else rnd.random(), None) for k in range(5001)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    got = exact_medians(df, {c: F.col(c) for c in "abcd"}, limit)
+    want = df.agg(*[F.median(c).alias(c) for c in "abcd"]).first().asDict()
+    assert got == want
+    two = exact_medians(df.limit(0).unionByName(df.sparkSession.createDataFrame(
+        [(1.0, 2.0, 5.0, None), (4.0, 2.0, None, None)], df.schema)), {c: F.col(c) for c in "abcd"}, limit)
+    assert two == {"a": 2.5, "b": 2.0, "c": 5.0, "d": None}
