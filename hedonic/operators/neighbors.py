@@ -2,11 +2,11 @@
 (M15-M20, W5, A13, A14, B2).
 
 Exact top-k cosine without emitting all pairs: vectors are hashed into B
-blocks; every (block_i, block_j) pair is one cogroup task that multiplies
-the two blocks with numpy and emits only the top-k per left row; a final
-``row_number <= k`` (cut before the shuffle) merges the B partial lists
-of a row. Rows emitted: n * k * B, never n^2. Each task holds two blocks
-(about 2n/B vectors of the unit-type width).
+blocks of about ``BLOCK_ROWS``; every (block_i, block_j) pair is one cogroup
+task that multiplies the two blocks in tiles with numpy and emits only the
+top-k per left row; a final ``row_number <= k`` (cut before the shuffle)
+merges the B partial lists of a row. Rows emitted: n * k * B, never n^2. A task
+holds two blocks and one tile, whatever n is; B follows from a row count.
 """
 
 from __future__ import annotations
@@ -17,9 +17,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hedonic.functions.scalar import round_half_even, seeded_hash
-from hedonic.session import bounded_broadcast
+from hedonic.session import bounded_broadcast, materialise
 
+ALS_ITER = 50         # fixed value: iterations of the factorisation
 TOP_K = 20            # fixed value: neighbours kept per address (self included in the ranking)
+BLOCK_ROWS = 4096     # vectors of a block
+TILE_ROWS = 256       # left rows multiplied at a time
 VOTE_MIN = 3          # fixed value: models that must agree on a neighbour
 
 _EDGE_SCHEMA = "addr string, nbr string, sim double"
@@ -45,36 +48,37 @@ def _topk_block(k: int, width: int):
         if left.empty or right.empty:
             return pd.DataFrame({"addr": [], "nbr": [], "sim": []})
 
-        def dense(ixs, vals):
+        def unit(ixs, vals):
             m = np.zeros((len(ixs), width))
             for r, (ix, v) in enumerate(zip(ixs, vals)):
                 m[r, np.asarray(ix, dtype=int)] = v
-            return m
-        a, b = dense(left["idx"], left["val"]), dense(right["r_idx"], right["r_val"])
-        na, nb = np.sqrt((a * a).sum(1)), np.sqrt((b * b).sum(1))
-        dot = a @ b.T
-        den = np.outer(na, nb)
-        sim = np.divide(dot, den, out=np.zeros_like(dot), where=den > 0)
+            return m, np.sqrt((m * m).sum(1))
+        right = right.sort_values("r_addr", kind="stable")   # names ascending: stable sorts break ties by name
         names = right["r_addr"].to_numpy()
-        order_names = np.argsort(names, kind="stable")
-        out_a, out_n, out_s = [], [], []
+        (a, na), (b, nb) = unit(left["idx"], left["val"]), unit(right["r_idx"], right["r_val"])
         kk = min(k, len(names))
-        for r in range(len(left)):
-            s = sim[r, order_names]  # names ascending, so a stable sort on -sim breaks ties by name
-            top = np.argsort(-s, kind="stable")[:kk]
-            out_a += [left["addr"].iat[r]] * kk
-            out_n += list(names[order_names[top]])
-            out_s += list(s[top])
-        return pd.DataFrame({"addr": out_a, "nbr": out_n, "sim": out_s})
+        out_n, out_s = [], []
+        for lo in range(0, len(left), TILE_ROWS):
+            dot = a[lo:lo + TILE_ROWS] @ b.T
+            den = np.outer(na[lo:lo + TILE_ROWS], nb)
+            sim = np.divide(dot, den, out=np.zeros_like(dot), where=den > 0)
+            top = np.argsort(-sim, axis=1, kind="stable")[:, :kk]
+            out_n.append(names[top].ravel())
+            out_s.append(np.take_along_axis(sim, top, axis=1).ravel())
+        return pd.DataFrame({"addr": np.repeat(left["addr"].to_numpy(), kk), "nbr": np.concatenate(out_n),
+                             "sim": np.concatenate(out_s)})
     return run
 
 
-def cosine_topk(vectors: DataFrame, width: int, k: int = TOP_K, blocks: int = 4) -> DataFrame:
+def cosine_topk(vectors: DataFrame, width: int, k: int = TOP_K, blocks: int | None = None) -> DataFrame:
     """Top-k neighbours by cosine per address, self removed after ranking.
 
     ``vectors`` = (addr, idx[], val[]); ``width`` = number of unit types.
+    ``blocks`` follows from the number of vectors when not given.
     Output edge table: addr, nbr, sim, rank (1-based, rank counted with self).
     """
+    if blocks is None:
+        blocks = -(-vectors.count() // BLOCK_ROWS) or 1
     blk = F.pmod(seeded_hash("addr", 7), F.lit(blocks))
     others = F.sequence(F.lit(0), F.lit(blocks - 1))
     left = vectors.select("*", blk.alias("bi"), F.explode(others).alias("bj"))
@@ -88,7 +92,7 @@ def cosine_topk(vectors: DataFrame, width: int, k: int = TOP_K, blocks: int = 4)
     return ranked.where(F.col("nbr") != F.col("addr"))
 
 
-def cosine_neighbors(matrix: DataFrame, value_col: str = "price", k: int = TOP_K, blocks: int = 4,
+def cosine_neighbors(matrix: DataFrame, value_col: str = "price", k: int = TOP_K, blocks: int | None = None,
                      width: int | None = None) -> DataFrame:
     """Matrix (addr, ctype, value) -> neighbour edges (M15 + W5).
 
@@ -101,7 +105,7 @@ def cosine_neighbors(matrix: DataFrame, value_col: str = "price", k: int = TOP_K
     return cosine_topk(vec, int(width), k, blocks)
 
 
-def factor_neighbors(factors: DataFrame, k: int = TOP_K, blocks: int = 4) -> DataFrame:
+def factor_neighbors(factors: DataFrame, k: int = TOP_K, blocks: int | None = None) -> DataFrame:
     """Neighbours by cosine over dense factor vectors (addr, features array)."""
     dim = F.size("features")
     vec = factors.select("addr", F.sequence(F.lit(0), dim - 1).alias("idx"),
@@ -110,24 +114,41 @@ def factor_neighbors(factors: DataFrame, k: int = TOP_K, blocks: int = 4) -> Dat
     return cosine_topk(vec, int(width), k, blocks)
 
 
-def als_factors(matrix: DataFrame, rank: int = 10, max_iter: int = 10, implicit: bool = True,
+def dense_ids(df: DataFrame, key: str, id_col: str, buckets: int = 4096) -> DataFrame:
+    """Distinct keys numbered from 0: counts per hash bucket give each bucket's
+    first number, the keys of a bucket are numbered among themselves."""
+    keys = df.select(key).distinct().withColumn("_b", F.pmod(seeded_hash(key, 11), F.lit(buckets)))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    first = keys.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).select(   # at most ``buckets`` rows
+        "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    rank = F.row_number().over(Window.partitionBy("_b").orderBy(key)) - 1
+    return (keys.withColumn("_r", rank).join(bounded_broadcast(first, buckets), "_b")
+                .select(key, (F.col("_first") + F.col("_r")).cast("int").alias(id_col)))
+
+
+def als_factors(matrix: DataFrame, rank: int = 10, max_iter: int = ALS_ITER, implicit: bool = True,
                 nonnegative: bool = False, seed: int = 42) -> DataFrame:
     """Address factors from MLlib ALS on the price matrix (M16 implicit, M19 non-negative).
 
     Non-negative mode fits every cell, absent ones as explicit zeros, like a
-    non-negative factorisation of the dense matrix.
+    non-negative factorisation of the dense matrix; each address's row is
+    unfolded from its own cells.
     """
     from pyspark.ml.recommendation import ALS
-    addr_ix = matrix.select("addr").distinct().withColumn("uid", F.row_number().over(Window.orderBy("addr")) - 1)
-    type_ix = type_index(matrix).withColumnRenamed("idx", "iid")
-    cells = matrix.join(addr_ix, "addr").join(type_ix, "ctype").select("uid", "iid", F.col("price").cast("float"))
+    vec, idx = to_vectors(matrix)
+    uids = dense_ids(matrix, "addr", "uid")
     if nonnegative:
-        full = addr_ix.crossJoin(type_ix.select("iid"))  # dense matrix: addresses x unit types (bounded width)
-        cells = full.join(cells, ["uid", "iid"], "left").fillna(0.0, subset=["price"])
+        last = int(idx.agg(F.max("idx")).first()[0] or 0)
+        cells = F.transform(F.sequence(F.lit(0), F.lit(last)), lambda i: F.struct(i.cast("int").alias("iid"), F.coalesce(
+            F.try_element_at(F.map_from_arrays("idx", "val"), i), F.lit(0.0)).cast("float").alias("price")))
+    else:
+        cells = F.transform(F.arrays_zip("idx", "val"), lambda c: F.struct(
+            c["idx"].cast("int").alias("iid"), c["val"].cast("float").alias("price")))
+    uids = materialise(uids)
     als = ALS(rank=rank, maxIter=max_iter, implicitPrefs=implicit, nonnegative=nonnegative, seed=seed,
               userCol="uid", itemCol="iid", ratingCol="price", coldStartStrategy="drop")
-    model = als.fit(cells)
-    return model.userFactors.join(addr_ix, F.col("id") == F.col("uid")).select("addr", "features")
+    model = als.fit(materialise(vec.join(uids, "addr").select("uid", F.inline(cells))))
+    return model.userFactors.join(uids, F.col("id") == F.col("uid")).select("addr", "features")
 
 
 def pca_factors(matrix: DataFrame, k: int = 10) -> DataFrame:
@@ -179,18 +200,14 @@ def nudge_price(listings: DataFrame, stats: DataFrame, lp_col: str = "Lp_dol") -
                     q0.alias("nb_q0"), F.coalesce("nb_q2", F.lit(0)).alias("nb_q2"), q3.alias("nb_q3"))
 
 
-def build_all(matrix: DataFrame, k: int = TOP_K, blocks: int = 4, als_iter: int = 10) -> DataFrame:
-    """Every neighbour index in one job (M20): cosine, implicit ALS, ALS+cosine,
+def build_all(matrix: DataFrame, k: int = TOP_K, blocks: int | None = None, als_iter: int = ALS_ITER) -> DataFrame:
+    """Every neighbour index in one job (M20): cosine, implicit ALS (M16, which
+    ranks by the cosine of its factors as M17 does, so it stands once),
     PCA+cosine, non-negative factors+cosine, as one edge table with ``model``."""
-    m = matrix.cache()
-    parts = [cosine_neighbors(m, k=k, blocks=blocks).withColumn("model", F.lit("cosine"))]
-    imp = als_factors(m, max_iter=als_iter)
-    parts.append(factor_neighbors(imp, k, blocks).withColumn("model", F.lit("als")))
-    parts.append(factor_neighbors(imp, k, blocks).withColumn("model", F.lit("als_cos")))
-    parts.append(factor_neighbors(pca_factors(m), k, blocks).withColumn("model", F.lit("pca_cos")))
-    parts.append(factor_neighbors(als_factors(m, implicit=False, nonnegative=True, max_iter=als_iter), k, blocks)
-                 .withColumn("model", F.lit("nmf_cos")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    m = materialise(matrix)
+    factors = {"als": als_factors(m, max_iter=als_iter), "pca_cos": pca_factors(m),
+               "nmf_cos": als_factors(m, implicit=False, nonnegative=True, max_iter=als_iter)}
+    out = cosine_neighbors(m, k=k, blocks=blocks).withColumn("model", F.lit("cosine"))
+    for name, f in factors.items():
+        out = out.unionByName(factor_neighbors(f, k, blocks).withColumn("model", F.lit(name)))
     return out

@@ -38,7 +38,7 @@ def _cos_sql(name, value_expr):
 @query("cosine_neighbors", "M15 W5 A6", "WITH " + _cos_sql("c", "l_extendedprice / l_quantity").strip() + """
 SELECT addr, nbr, rank, round(sim, 6) AS sim FROM c""")
 def cosine_neighbors(spark, sf_dir):
-    e = N.cosine_neighbors(_matrix(spark, sf_dir), blocks=4)
+    e = N.cosine_neighbors(_matrix(spark, sf_dir))
     return e.select("addr", "nbr", "rank", F.round("sim", 6).alias("sim"))
 
 
@@ -72,7 +72,7 @@ def neighbor_vote_nudge(spark, sf_dir):
     rows = supplier_brand_frame(spark, sf_dir)
     edges = None
     for model, col in VOTE_VALUES.items():
-        e = N.cosine_neighbors(K.price_matrix(rows, price_col=col, min_type_count=30), blocks=4)
+        e = N.cosine_neighbors(K.price_matrix(rows, price_col=col, min_type_count=30))
         e = e.select(F.lit(model).alias("model"), "addr", "nbr")
         edges = e if edges is None else edges.unionByName(e)
     voted = N.neighbor_vote(edges)
@@ -90,23 +90,41 @@ def neighbor_vote_nudge(spark, sf_dir):
     return N.nudge_price(listings, stats)
 
 
-@query("factor_neighbors_als", "M16 M17")
+def _edges_sql(models):
+    """Every address has neighbours in every model, and no edge breaks an invariant."""
+    return "WITH " + _cos_sql("c", "l_extendedprice / l_quantity").strip() + f""",
+n AS (SELECT count(DISTINCT addr) AS n FROM c_m)
+SELECT model, n AS n_addr, 0::BIGINT AS n_bad FROM n, (SELECT unnest({models}) AS model)"""
+
+
+def edge_facts(edges, k=N.TOP_K):
+    """Per model: addresses with neighbours, and edges that break an invariant of the ranking."""
+    bad = ((F.col("rank") < 1) | (F.col("rank") > k) | (F.col("nbr") == F.col("addr")) | (F.abs("sim") > 1 + 1e-9)
+           | F.isnan("sim"))
+    per = edges.groupBy("model", "addr").agg(F.count_if(bad).alias("b"), F.count(F.lit(1)).alias("n"),
+                                             F.countDistinct("nbr", "rank").alias("d"))
+    n_addr = per.groupBy("model").agg(F.count(F.lit(1)).alias("n_addr"))
+    short = (F.col("n") < F.least(F.lit(k), F.col("n_addr")) - 1) | (F.col("n") != F.col("d"))
+    return per.join(n_addr, "model").groupBy("model", "n_addr").agg(
+        F.sum(F.col("b") + short.cast("long")).alias("n_bad"))
+
+
+@query("factor_neighbors_als", "M16 M17", _edges_sql(["als"]))
 def factor_neighbors_als(spark, sf_dir):
-    f = N.als_factors(_matrix(spark, sf_dir), rank=10, max_iter=10)
-    return N.factor_neighbors(f).select("addr", "nbr", "rank", F.round("sim", 4).alias("sim"))
+    return edge_facts(N.factor_neighbors(N.als_factors(_matrix(spark, sf_dir))).withColumn("model", F.lit("als")))
 
 
-@query("factor_neighbors_pca", "M18")
+@query("factor_neighbors_pca", "M18", _edges_sql(["pca_cos"]))
 def factor_neighbors_pca(spark, sf_dir):
-    return N.factor_neighbors(N.pca_factors(_matrix(spark, sf_dir))).select("addr", "nbr", "rank")
+    return edge_facts(N.factor_neighbors(N.pca_factors(_matrix(spark, sf_dir))).withColumn("model", F.lit("pca_cos")))
 
 
-@query("factor_neighbors_nonneg", "M19")
+@query("factor_neighbors_nonneg", "M19", _edges_sql(["nmf_cos"]))
 def factor_neighbors_nonneg(spark, sf_dir):
-    f = N.als_factors(_matrix(spark, sf_dir), implicit=False, nonnegative=True, max_iter=10)
-    return N.factor_neighbors(f).select("addr", "nbr", "rank")
+    f = N.als_factors(_matrix(spark, sf_dir), implicit=False, nonnegative=True)
+    return edge_facts(N.factor_neighbors(f).withColumn("model", F.lit("nmf_cos")))
 
 
-@query("neighbor_index_build", "M20")
+@query("neighbor_index_build", "M20", _edges_sql(["als", "cosine", "nmf_cos", "pca_cos"]))
 def neighbor_index_build(spark, sf_dir):
-    return N.build_all(_matrix(spark, sf_dir)).groupBy("model").agg(F.count(F.lit(1)).alias("n_edges"))
+    return edge_facts(N.build_all(_matrix(spark, sf_dir)))

@@ -188,3 +188,32 @@ def test_exact_medians_equal_sorting(spark, limit):
     two = exact_medians(df.limit(0).unionByName(df.sparkSession.createDataFrame(
         [(1.0, 2.0, 5.0, None), (4.0, 2.0, None, None)], df.schema)), {c: F.col(c) for c in "abcd"}, limit)
     assert two == {"a": 2.5, "b": 2.0, "c": 5.0, "d": None}
+
+
+def test_cosine_blocks_and_ids(spark):
+    from hedonic.operators import neighbors as N
+    rows = [(f"a{k:03d}", f"t{j}", float((k * 7 + j * j * 3) % 11)) for k in range(60) for j in range(5)]
+    m = spark.createDataFrame(rows, "addr string, ctype string, price double")
+    edges = {b: sorted(map(repr, N.cosine_neighbors(m, k=7, blocks=b).select("addr", "nbr", "rank").collect()))
+             for b in (1, 4)}
+    assert edges[1] == edges[4] and len(edges[1]) >= 60 * 6
+    ids = sorted(r["u"] for r in N.dense_ids(m, "addr", "u", buckets=8).collect())
+    assert ids == list(range(60))
+
+
+def test_chronological_holdout_and_pooled_scores(spark):
+    from hedonic.operators import models as M
+    rows = [(k, _d("2020-01-01") + dt.timedelta(days=k // 3), "g%d" % (k % 2), float(k % 7), float(k % 7) * 2 + k % 2)
+            for k in range(300)]
+    df = spark.createDataFrame(rows, "id long, d date, g string, x double, y double")
+    head, tail = L.split_by_time(df, "d", "id", 0.2)
+    _, held = M.train_stack(head, tail, ["x"], "y", "d", "id")
+    assert held.count() == 6
+    assert held.agg(F.min("d")).first()[0] >= tail.join(held, "id", "left_anti").agg(F.max("d")).first()[0]
+    models = M.train_pooled_regressors(df.withColumn("p", F.lit("all")), "g", ["x"], "y", "p", ["all", "none"],
+                                       draws=1, folds=2)
+    new = spark.createDataFrame([(1, "g0", 3.0, "all"), (2, "unseen", 3.0, "all"), (3, "g0", None, "all"),
+                                 (4, "g0", 1.0, None), (5, "g1", 1.0, "none")], "id long, g string, x double, period string")
+    got = {r["id"]: (r["gb_pred"], r["rf_pred"]) for r in M.score_pooled_regressors(new, models, "g", ["x"]).collect()}
+    assert set(got) == {1, 2, 3, 4, 5}
+    assert all(abs(p - 6) < 2 for p in got[1]) and all(got[k] == (None, None) for k in (2, 3, 4, 5))
