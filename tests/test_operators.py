@@ -11,7 +11,7 @@ from hedonic.operators import clean as C
 from hedonic.operators import correct as R
 from hedonic.operators import evaluate as V
 from hedonic.operators import slices as L
-from hedonic.operators.pairs import comparables, sample_per_group, trimmed_estimate
+from hedonic.operators.pairs import TARGET_KEYS, comparables, estimate_from_pairs, sample_per_group, trimmed_estimate
 
 
 def _d(s):
@@ -217,3 +217,24 @@ def test_chronological_holdout_and_pooled_scores(spark):
     got = {r["id"]: (r["gb_pred"], r["rf_pred"]) for r in M.score_pooled_regressors(new, models, "g", ["x"]).collect()}
     assert set(got) == {1, 2, 3, 4, 5}
     assert all(abs(p - 6) < 2 for p in got[1]) and all(got[k] == (None, None) for k in (2, 3, 4, 5))
+
+
+def test_salted_hot_bin_equals_theta_join(spark):
+    rows = [(k, _d("2020-01-01") + dt.timedelta(days=k % 9), 100.0 + k % 13) for k in range(400)]
+    df = spark.createDataFrame(rows, "id long, d date, p double")
+    kw = {"id_col": "id", "date_col": "d", "price_col": "p"}
+    plain = comparables(df, df, **kw)
+    salted = comparables(df, df, max_pairs=2000, **kw)
+    assert salted.select("_ks").distinct().count() > 20     # one dense bin over many parts
+    cols = ["target_id", "pair_id", "ratio"]
+    theta = {(a[0], b[0]) for a in rows for b in rows if abs(round((b[2] - a[2]) / a[2], 2)) <= 0.1}
+    got = [tuple(r) for r in salted.select(*cols).collect()]
+    assert sorted(got) == sorted(tuple(r) for r in plain.select(*cols).collect())
+    assert {g[:2] for g in got} == theta and len(got) == len(theta)
+
+    def estimate(pairs):
+        kept = sample_per_group(pairs, "target_id", "pair_id", partition_cols=TARGET_KEYS)
+        return estimate_from_pairs(kept.withColumn("pred_diff", F.col("label") * 0.5))
+    plan = estimate(salted)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(_kd") == 2          # the join's two inputs, nothing after
+    assert sorted(map(tuple, estimate(salted).collect())) == sorted(map(tuple, estimate(plain).collect()))
