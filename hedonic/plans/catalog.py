@@ -37,4 +37,5 @@ def load_all() -> dict[str, Query]:
     return REGISTRY
 
 
-MODULES = ["q_pairs", "q_clean", "q_slices", "q_condo", "q_neighbors", "q_evaluate", "q_encode", "q_io", "q_models"]
+MODULES = ["q_pairs", "q_clean", "q_slices", "q_condo", "q_neighbors", "q_evaluate", "q_encode", "q_io", "q_models",
+           "q_retrain"]
