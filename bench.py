@@ -28,6 +28,8 @@ HEADLINE = [
     "error_histogram",
     "clean_conditional_median_fill",
     "room_area_buckets",
+    "chronological_split",
+    "neighbor_vote_nudge",
 ]
 
 
