@@ -1,15 +1,17 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame functions only.
 
 Fixed patterns find e-mail addresses, IP addresses, payment cards and phone
-numbers; these are the seeds. Identifier-like tokens (with a digit) that no seed
-covers are candidates. Every occurrence has lexical patterns: the two words
+numbers; these are the seeds. Any token, and any run of digit groups joined by
+single separators, that touches no seed and stands in a context of enough known
+instances is a candidate. Every occurrence has lexical patterns: the two words
 before it, and the words on either side. Spark scores the graph of patterns and
 instances in rounds: a pattern is trusted by the share of its distinct instances
 that are known, an instance by its trusted patterns. Candidates in a pattern of
 high confidence are identifiers the fixed patterns do not know; their spans are
 added.
 
-Texts are read once, in one map without Python: positions come from the lengths
+Texts are read in maps without Python, once for the seeds and once for each set
+of contexts or found instances that is looked up: positions come from the lengths
 of matches and of the text between them. What is shuffled after that are
 occurrences (patterns and instances), pre-aggregated to distinct pairs; texts
 are not. Rounds are written to the shared folder.
@@ -17,7 +19,7 @@ are not. Rounds are written to the shared folder.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hedonic.llm.frames import open_frame
@@ -34,10 +36,13 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-CANDIDATE = r"(?<![A-Za-z0-9@._%+/-])[A-Za-z@._%+/-]*+[0-9][A-Za-z0-9@._%+/-]*+"
+_INNER = r"\p{L}\p{N}@._%+/-"
+#: A run of digit groups, or a token.
+CANDIDATE = (rf"(?<![{_INNER}])(?:[0-9](?:[\x20./-]?[0-9])*+(?![\p{{L}}\p{{N}}@_%+])(?![./-]++[\p{{L}}\p{{N}}])"
+             rf"|[{_INNER}]++)")
 TRIM = "._%+/-@"
-LEAST_CANDIDATE = 6
-
+#: Characters of a chunk when a text is cut up for contexts and redaction.
+CHUNK = 4096
 #: Discovered spans that are broadcast at most (some 50 bytes each).
 BROADCAST_SPANS = 500_000
 #: Characters of context kept on each side of an occurrence.
@@ -100,59 +105,123 @@ def _valid(kind: str, m: Column) -> Column:
 _ITEM = "array<struct<start:bigint,rank:int,kind:string,end:bigint,value:string,left:string,right:string>>"
 
 
+def _cut(chunks: Column, a: Column, b: Column) -> Column:
+    """Characters a to b of a text in chunks, b - a being less than a chunk."""
+    first = F.floor(a / CHUNK).cast("int")
+    two = F.concat(F.element_at(chunks, first + 1), F.coalesce(F.try_element_at(chunks, first + 2), F.lit("")))
+    return F.when(b <= a, "").otherwise(F.substring(two, (a % CHUNK + 1).cast("int"), (b - a).cast("int")))
+
+
 def add_occurrences(df: DataFrame, text: str) -> DataFrame:
-    """Adds ``items``: every valid base match and every candidate, with its span and context."""
+    """Adds ``items``: every valid base match, with its span and the text around it."""
     none, no_items = F.array().cast("array<string>"), F.array().cast(_ITEM)
     body = F.col("body")
     df = df.withColumn("body", F.coalesce(F.col(text).cast("string"), F.lit("")))
     digit = body.rlike("[0-9]")
-    needs = {"email": F.contains(body, F.lit("@")), "phone": F.contains(body, F.lit("+")), "ip": digit, "card": digit,
-             "token": digit}
-    regex = {**PATTERNS, "token": CANDIDATE}
+    needs = {"email": F.contains(body, F.lit("@")), "phone": F.contains(body, F.lit("+")), "ip": digit, "card": digit}
     df = df.withColumns({f"m_{k}": F.when(needs[k], F.regexp_extract_all(body, F.lit(r), F.lit(0))).otherwise(none)
-                         for k, r in regex.items()})
+                         for k, r in PATTERNS.items()})
     # the text between matches; with limit -1 there is one part more than matches
     df = df.withColumns({f"p_{k}": F.when(F.size(f"m_{k}") > 0, F.split(body, r, -1)).otherwise(none)
-                         for k, r in regex.items()})
+                         for k, r in PATTERNS.items()})
     df = df.withColumns({f"e_{k}": running_sums(F.zip_with(
         F.col(f"m_{k}"), F.slice(f"p_{k}", 1, F.size(f"m_{k}")),
-        lambda m, p: (F.length(m) + F.length(p)).cast("long"))) for k in regex})
+        lambda m, p: (F.length(m) + F.length(p)).cast("long"))) for k in PATTERNS})
 
     def items(k: str, rank: int) -> Column:
-        m, p, e = (F.col(f"{x}_{k}") for x in "mpe")
+        m, e = F.col(f"m_{k}"), F.col(f"e_{k}")
 
         def item(i: Column) -> Column:
             value = F.element_at(m, i)
-            start = F.element_at(e, i) - F.length(value)
-            if k == "token":
-                value = F.rtrim(value, F.lit(TRIM))
-            before, after = F.element_at(p, i), F.element_at(p, i + 1)
-            return F.struct(start.alias("start"), F.lit(rank).alias("rank"), F.lit(k).alias("kind"),
-                            (start + F.length(value)).cast("long").alias("end"), value.alias("value"),
-                            F.right(before, F.lit(LEFT)).alias("left"), F.left(after, F.lit(RIGHT)).alias("right"))
-
-        every = F.transform(F.sequence(F.lit(1), F.size(m)), item)
-        if k == "token":
-            every = F.filter(every, lambda x: F.length(x["value"]) >= LEAST_CANDIDATE)
-        else:
-            every = F.filter(every, lambda x: _valid(k, x["value"]))
+            return F.struct((F.element_at(e, i) - F.length(value)).alias("start"), F.lit(rank).alias("rank"),
+                            F.lit(k).alias("kind"), F.element_at(e, i).cast("long").alias("end"), value.alias("value"),
+                            F.lit("").alias("left"), F.lit("").alias("right"))
+
+        every = F.filter(F.transform(F.sequence(F.lit(1), F.size(m)), item), lambda x: _valid(k, x["value"]))
         return F.when(F.size(m) == 0, no_items).otherwise(every.cast(_ITEM))
 
-    every = F.concat(*[items(k, i) for i, k in enumerate([*KINDS, "token"])])
-    return df.withColumn("items", every).drop("body", *[f"{x}_{k}" for x in "mpe" for k in regex])
+    df = df.withColumn("bare", F.concat(*[items(k, i) for i, k in enumerate(KINDS)]))
+    df = df.withColumn("chunks", F.when(F.size("bare") > 0, F.regexp_extract_all(
+        body, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))).otherwise(none))
+
+    def around(x: Column) -> Column:
+        return F.struct(x["start"].alias("start"), x["rank"].alias("rank"), x["kind"].alias("kind"), x["end"].alias("end"),
+                        x["value"].alias("value"),
+                        _cut(F.col("chunks"), F.greatest(x["start"] - LEFT, F.lit(0)), x["start"]).alias("left"),
+                        _cut(F.col("chunks"), x["end"], F.least(x["end"] + RIGHT, F.length(body).cast("long"))).alias("right"))
+
+    return df.withColumn("items", F.transform("bare", around).cast(_ITEM)).drop(
+        "body", "bare", "chunks", *[f"{x}_{k}" for x in "mpe" for k in PATTERNS])
 
 
 def patterns_of(left: Column, right: Column) -> Column:
     """Lexical patterns of one occurrence: two words before; the words on either side. Digits are alike."""
 
     def plain(x: Column) -> Column:
-        return F.regexp_replace(F.lower(x), "[0-9]", "0")
-
-    before = F.split(F.trim(F.regexp_replace(plain(left), r"\s+", " ")), " ")
-    after = F.split(F.trim(F.regexp_replace(plain(right), r"\s+", " ")), " ")
-    last, last2 = F.element_at(before, -1), F.array_join(F.slice(before, F.greatest(F.size(before) - 1, F.lit(1)), 2),
-                                                         " ")
-    return F.array(F.concat(F.lit("L "), last2), F.concat(F.lit("B "), last, F.lit(" _ "), F.element_at(after, 1)))
+        x = F.lower(F.translate(x, "123456789\t\n\x0b\f\r", "000000000     "))
+        return F.trim(F.when(F.contains(x, F.lit("  ")), F.regexp_replace(x, " +", " ")).otherwise(x))
+
+    before, after = plain(left), plain(right)
+    return F.array(F.concat(F.lit("L "), F.substring_index(before, " ", -2)),
+                   F.concat(F.lit("B "), F.substring_index(before, " ", -1), F.lit(" _ "),
+                            F.substring_index(after, " ", 1)))
+
+
+def candidates(scanned: DataFrame, wanted: DataFrame, by: str) -> DataFrame:
+    """``row, start, end, instance, pattern`` of the tokens that touch no base span and whose ``by`` (pattern or
+    instance) is in ``wanted``. A context is put together from six tokens on each side."""
+    body = F.coalesce(F.col("source").cast("string"), F.lit(""))
+
+    def split(df: DataFrame) -> DataFrame:
+        return df.withColumns({"m": F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)),
+                               "p": F.split(body, CANDIDATE, -1)}).drop("source")
+
+    def shifted(array: str, k: int) -> Column:  # entry i is that of i + k, and empty beyond the ends
+        none = F.array_repeat(F.lit(""), F.least(F.lit(abs(k)), F.size(array)))
+        keep = F.greatest(F.size(array) - abs(k), F.lit(0))
+        return F.concat(none, F.slice(array, F.lit(1), keep)) if k < 0 else \
+            F.concat(F.slice(array, F.lit(k + 1), keep), none)
+
+    def joined(df: DataFrame, name: str, a: str, k: int, b: str) -> DataFrame:
+        """Text k tokens before (or after) and text here."""
+        pair = (lambda x, y: F.right(F.concat(x, y), F.lit(LEFT))) if k < 0 else \
+            (lambda x, y: F.left(F.concat(y, x), F.lit(RIGHT)))
+        return df.withColumn(name, F.zip_with(shifted(a, k), b, pair))
+
+    df = split(scanned.select("row", "source")).where(F.size("m") > 0)
+    df = df.withColumn("u", F.zip_with(F.slice("p", F.lit(1), F.size("m")), "m", lambda x, y: F.concat(x, y)))
+    for side, one in (("l", -1), ("r", 1)):
+        df = joined(joined(df, side + "2", "u", one, "u"), side + "4", side + "2", 2 * one, side + "2")
+        df = joined(df, side + "6", side + "4", 2 * one, side + "2")
+    df = df.select("row", F.posexplode(F.arrays_zip("m", F.slice("p", F.lit(1), F.size("m")).alias("gap"),
+                                                    shifted("l6", -1).alias("before"), shifted("r6", 1).alias("after"))))
+    df = df.select("row", F.col("pos").alias("i"), F.col("col.m").alias("token"), F.rtrim("col.m", F.lit(TRIM)).alias(
+        "value"), "col.gap", "col.before", "col.after").where(F.length("value") > 0)
+    df = df.withColumn("instance", F.lower("value"))
+    found = F.broadcast(wanted) if wanted.count() <= BROADCAST_SPANS else wanted
+    if by == "instance":
+        df = df.join(found, "instance")
+    left = F.right(F.concat("before", "gap"), F.lit(LEFT))
+    right = F.left(F.concat(F.expr("substring(token, length(value) + 1)"), "after"), F.lit(RIGHT))
+    df = df.select("row", "i", F.length("value").alias("n"), "instance", F.explode(patterns_of(left, right)).alias(
+        "pattern"))
+    if by == "pattern":
+        df = df.join(found, "pattern")
+    hits = materialise(df.select("row", "i", "n", "instance", "pattern"))
+    # positions, from the texts that have hits
+    at = hits.select("row", "i", "n").distinct().groupBy("row").agg(F.collect_list(F.struct("i", "n")).alias("hits"))
+    at = F.broadcast(at) if hits.count() <= BROADCAST_SPANS else at
+    texts = split(scanned.select("row", "source", "items").join(at, "row"))
+
+    def place(h: Column) -> Column:
+        start = F.length(F.array_join(F.slice("m", F.lit(1), h["i"]), "")) + F.length(
+            F.array_join(F.slice("p", F.lit(1), h["i"] + 1), ""))
+        return F.struct(h["i"].alias("i"), start.cast("long").alias("start"), (start + h["n"]).cast("long").alias("end"))
+
+    placed = texts.select("row", "items", F.transform("hits", place).alias("hits")).select(
+        "row", F.explode(F.filter("hits", lambda h: ~F.exists(
+            "items", lambda x: (x["start"] < h["end"]) & (x["end"] > h["start"])))).alias("h")).select("row", "h.*")
+    return materialise(hits.join(placed, ["row", "i"]).select("row", "start", "end", "instance", "pattern"))
 
 
 def score_patterns(pairs: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT,
@@ -179,23 +248,34 @@ def score_patterns(pairs: DataFrame, rounds: int = ROUNDS, support: int = SUPPOR
 
 
 def discover(scanned: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(row, found): (start, end) of candidates that stand in a trusted pattern and touch no base span."""
-    each = scanned.where(F.size("items") > 0).select("row", F.explode("items").alias("i")).select("row", "i.*")
-    base = F.col("kind") != "token"
-    ahead = Window.partitionBy("row").orderBy("start", "rank").rowsBetween(Window.unboundedPreceding, -1)
-    behind = Window.partitionBy("row").orderBy(F.desc("start"), F.desc("rank")).rowsBetween(
-        Window.unboundedPreceding, -1)
-    each = each.withColumn("over", F.max(F.when(base, F.col("end"))).over(ahead)) \
-        .withColumn("next", F.min(F.when(base, F.col("start"))).over(behind))
-    free = base | ((F.coalesce("over", F.lit(0)) <= F.col("start")) & (F.coalesce("next", F.col("end")) >= F.col("end")))
-    each = materialise(each.where(free).select("row", "start", "end", base.alias("seed"), F.lower("value").alias(
-        "instance"), patterns_of(F.col("left"), F.col("right")).alias("patterns")))
-    # a base match at a candidate's start sorts before it (by rank), so `over` covers equal starts
-    pairs = each.select(F.explode("patterns").alias("pattern"), "instance", "seed").groupBy(
-        "pattern", "instance").agg(F.max("seed").alias("seed"))
-    trusted = score_patterns(pairs, rounds)
-    hits = each.where(~F.col("seed")).select("row", "start", "end", F.explode("patterns").alias("pattern")).join(
-        trusted.select("pattern"), "pattern", "left_semi").select("row", "start", "end").distinct()
+    """(row, found): (start, end) of candidates that stand in a trusted pattern and touch no base span.
+
+    A pattern without ``SUPPORT`` known instances cannot be trusted, so only the others are looked up in the texts;
+    what they find may make more patterns known.
+    """
+    seeds = materialise(scanned.where(F.size("items") > 0).select(F.explode("items").alias("i")).select(
+        F.lower("i.value").alias("instance"), F.explode(patterns_of(F.col("i.left"), F.col("i.right"))).alias(
+            "pattern")).distinct())
+    known, looked, hits, trusted = seeds, None, None, None
+    for k in range(rounds):
+        wanted = known.groupBy("pattern").agg(F.countDistinct("instance").alias("n")).where(
+            F.col("n") >= SUPPORT).select("pattern")
+        wanted = materialise(wanted if looked is None else wanted.join(looked, "pattern", "left_anti"))
+        if k and wanted.isEmpty():
+            break
+        looked = wanted if looked is None else looked.unionByName(wanted)
+        new = candidates(scanned, wanted, "pattern")
+        hits = new if hits is None else hits.unionByName(new)
+        pairs = seeds.withColumn("seed", F.lit(True)).unionByName(
+            hits.join(seeds.select("instance").distinct(), "instance", "left_anti").select(
+                "instance", "pattern", F.lit(False).alias("seed"))).distinct()
+        trusted = materialise(score_patterns(pairs, rounds))
+        if k < rounds - 1:
+            found = materialise(hits.join(trusted, "pattern", "left_semi").select("instance").distinct())
+            if found.isEmpty():
+                break
+            known = seeds.unionByName(candidates(scanned, found, "instance").select("instance", "pattern")).distinct()
+    hits = hits.join(trusted.select("pattern"), "pattern", "left_semi").select("row", "start", "end").distinct()
     return hits.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("found"))
 
 
@@ -211,15 +291,15 @@ def find_personal_data(df: DataFrame, text: str = "text", keep: list[str] | None
     """
     inner = open_frame(df, keep, ("base", "spans"))
     src = inner.df.select(*inner.kept, F.col(inner.name(text)).alias("source"))
-    scanned = add_occurrences(src, "source").drop("source")
+    scanned = add_occurrences(src, "source")
     scanned = materialise(scanned.withColumn("row", F.monotonically_increasing_id()))
-    found = materialise(discover(scanned.select("row", "items"), rounds).withColumnRenamed("row", "at"))
+    found = materialise(discover(scanned.select("row", "source", "items"), rounds).withColumnRenamed("row", "at"))
     # while the discovered spans are few they go to the texts, else the texts are shuffled
     n = found.agg(F.sum(F.size("found"))).first()[0] or 0
     found = F.broadcast(found) if n <= BROADCAST_SPANS else found
-    spans = F.transform(F.filter("items", lambda x: x["kind"] != "token"), lambda x: F.struct(
+    spans = F.transform("items", lambda x: F.struct(
         x["start"].alias("start"), x["rank"].alias("rank"), x["kind"].alias("kind"), x["end"].alias("end")))
-    out = scanned.withColumn("base", F.array_sort(spans)).drop("items").join(found, F.col("row") == F.col("at"), "left")
+    out = scanned.withColumn("base", F.array_sort(spans)).drop("items", "source").join(found, F.col("row") == F.col("at"), "left")
     added = F.transform("found", lambda x: F.struct(x["start"].alias("start"), F.lit(len(KINDS)).alias("rank"),
                                                     F.lit(FOUND).alias("kind"), x["end"].alias("end")))
     none = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>")
@@ -241,10 +321,6 @@ def digest(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
                         _written(F.col("spans")).alias("spans"))
 
 
-#: Characters of a chunk when a text is cut up for redaction.
-CHUNK = 4096
-
-
 def redact(body: Column, spans: Column) -> Column:
     """The text with every span replaced by its kind in angle brackets; overlapping spans are one, with the first's."""
     chunks = F.regexp_extract_all(body, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))  # so that no cut scans a long text

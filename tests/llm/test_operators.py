@@ -369,6 +369,20 @@ def test_context_discovers_unseen_identifiers(spark):
     assert all(not got[i] for i in range(41, len(t))) and all(got[i].startswith("email:") for i in range(40))
 
 
+def test_context_discovers_numbers_in_groups_and_plain_names(spark):
+    """Identifiers of spaced digit groups, of few digits, without a digit, and after a number on the line."""
+    t = [f"now {lead} user{i}@mail.example.com" for i in range(60) for lead in ("call me at", "the pin:", "his login is")]
+    new = {"now call me at 555 123 4567": "555 123 4567", "now the pin: 48213": "48213",
+           "now his login is alice.smith.": "alice.smith", "on day 12 his login is bob": "bob"}
+    t += [*new, "we met in room 555 123 4567", "alice went on day 12"]
+    df = spark.createDataFrame(list(enumerate(t)), "doc_id long, text string")
+    got = {t[r["doc_id"]]: r["spans"] for r in pii.digest(pii.find_personal_data(df)).collect()}
+    for x, name in new.items():
+        at = x.index(name)
+        assert got[x] == f"context:{at}:{at + len(name)}"
+    assert not any(got[x] for x in t[-2:])
+
+
 def test_redaction(spark):
     t = personal_texts()[:11] + ["é" * 5000 + " a@b.co " + "ñ" * 9000 + " 10.0.0.1"]
     df = spark.createDataFrame([(i, x, 7, "b") for i, x in enumerate(t)], "doc_id long, text string, n_chars int, base string")
