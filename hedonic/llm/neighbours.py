@@ -44,6 +44,8 @@ PART = 4096
 QUERY_BLOCK = 256
 #: Ranked pairs a task keeps before it prunes them to each query's best.
 KEEP_PAIRS = 2_000_000
+#: Components scored exactly at a time (32 MB a side).
+SCORE_BLOCK = 1 << 22
 
 
 @dataclass
@@ -178,14 +180,22 @@ def best_of(q: np.ndarray, c: np.ndarray, s: np.ndarray, k: int):
 
 
 def rank_block(qid, q, cid, c, k: int):
-    """Best k of one leaf part for a block of queries, with exact scores."""
+    """Best k of one leaf part for a block of queries, with exact scores.
+
+    Every pair that the rough sums cannot tell from the k-th is scored, however many tie.
+    """
     rough = q.astype(np.float64) @ c.T.astype(np.float64)
-    take = min(len(cid), k + 8)  # a few more, as rough sums may differ in the last bit
-    at = np.argpartition(-rough, take - 1, axis=1)[:, :take] if take < len(cid) else \
-        np.tile(np.arange(len(cid)), (len(qid), 1))
-    i = np.repeat(np.arange(len(qid)), take)
-    j = at.reshape(-1)
-    return best_of(qid[i], cid[j], scores(q[i], c[j]), k)
+    if k < len(cid):
+        kth = -np.partition(-rough, k - 1, axis=1)[:, k - 1]
+        # rough and exact sums differ by at most n eps |q||c| (twice the bound of a sum of n products), in both pairs
+        length = np.linalg.norm(q.astype(np.float64), axis=1) * np.linalg.norm(c.astype(np.float64), axis=1).max()
+        apart = 2 * (q.shape[1] + 2) * (np.finfo(np.float64).eps * length + np.finfo(np.float64).tiny)
+        i, j = np.nonzero(~(rough < (kth - apart)[:, None]))
+    else:
+        i, j = np.indices(rough.shape).reshape(2, -1)
+    step = max(1, SCORE_BLOCK // q.shape[1])
+    s = np.concatenate([np.zeros(0), *(scores(q[i[lo:lo + step]], c[j[lo:lo + step]]) for lo in range(0, len(i), step))])
+    return best_of(qid[i], cid[j], s, k)
 
 
 def search(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", every: int = 20,

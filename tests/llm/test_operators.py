@@ -260,6 +260,21 @@ def test_neighbours_small_is_exact(spark):
     assert neighbours.search(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [1 << 22, 640])
+def test_neighbours_ties_of_distinct_vectors(monkeypatch, block):
+    """Many distinct vectors of one score: the smaller ids are kept, whatever their place in the leaf."""
+    monkeypatch.setattr(neighbours, "SCORE_BLOCK", block, raising=False)
+    rng = np.random.default_rng(4)
+    x = np.unique(np.float32(rng.integers(0, 2, (3000, 64))), axis=0)
+    ids = rng.permutation(len(x))
+    for v in (x, np.float32(x * rng.choice([0.1, 0.3], 64))):  # sums that are exact, and sums that are rounded
+        i, j, s = neighbours.rank_block(np.arange(50), v[:50], ids, v, 21)
+        for q in range(50):
+            exact = neighbours.scores(np.repeat(v[q:q + 1], len(v), axis=0), v)
+            want = np.lexsort((ids, -exact))[:21]
+            assert j[i == q].tolist() == ids[want].tolist() and (s[i == q] == exact[want]).all()
+
+
 def test_neighbours_recall(spark):
     """Trees of real depth on the given vectors; recall against brute force."""
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
