@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 #: Bytes hashed at a time; bounds the 64-bit work arrays whatever a text's length.
 CHUNK = 1 << 20
@@ -89,7 +90,11 @@ def join_texts(texts: list) -> tuple[np.ndarray, np.ndarray]:
 
 def split(data: np.ndarray, doc_start: np.ndarray, is_word: np.ndarray) -> Words:
     """Maximal runs of bytes of the class ``is_word``; a space must not be in it."""
-    m = is_word[data]
+    return split_mask(data, doc_start, is_word[data])
+
+
+def split_mask(data: np.ndarray, doc_start: np.ndarray, m: np.ndarray) -> Words:
+    """Maximal runs of the bytes marked in ``m``, where the space after each text is not."""
     edge = np.flatnonzero(m[1:] != m[:-1]) + 1
     if len(m) and m[0]:
         edge = np.concatenate(([0], edge))
@@ -97,6 +102,17 @@ def split(data: np.ndarray, doc_start: np.ndarray, is_word: np.ndarray) -> Words
     return Words(data, doc_start, start, end, np.searchsorted(start, doc_start))
 
 
+def strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.StringArray:
+    """The byte spans as Arrow strings; all together below 2 GB."""
+    size = end - start
+    at = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=at[1:])
+    if not len(at) or at[-1] >= 1 << 31:
+        raise ValueError("spans of 2 GB or more")
+    raw = data[np.arange(at[-1]) + np.repeat(start - at[:-1], size)]
+    return pa.StringArray.from_buffers(len(size), pa.py_buffer(at.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(raw)))
+
+
 def hash_words(w: Words) -> np.ndarray:
     """A 64-bit hash of each word's bytes, the same wherever the word stands."""
     out = np.empty(len(w.start), U64)
