@@ -10,6 +10,7 @@ from hedonic.llm import (
     neighbours,
     packing,
     pii,
+    prefix_trie,
     quality,
     simhash,
     spelling,
@@ -66,6 +67,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
@@ -81,6 +86,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
@@ -91,5 +97,6 @@ ORACLES = {
     "op2_decontamination": decontaminate.oracle_sql(),
     "op4_chat_formatting": chat.oracle_sql(HOSTILE_SQL),
     "op9_substring_dedup": substring.oracle_sql(),
+    "op12_conversation_trie": prefix_trie.oracle_sql(),
     "op13_spelling_variants": spelling.oracle_sql(),
 }
