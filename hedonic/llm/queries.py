@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hedonic.llm import (
     chat,
     decontaminate,
+    lattice,
     neighbours,
     packing,
     pii,
@@ -67,6 +68,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op11_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score_texts(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
@@ -86,6 +91,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_lattice_likelihood": op11_lattice_likelihood,
     "op12_conversation_trie": op12_conversation_trie,
     "op13_spelling_variants": op13_spelling_variants,
 }
