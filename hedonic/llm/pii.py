@@ -1,29 +1,35 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame functions only.
 
 Fixed patterns find e-mail addresses, IP addresses, payment cards and phone
-numbers; these are the seeds. Any token, and any run of digit groups joined by
-single separators, that touches no seed and stands in a context of enough known
-instances is a candidate. Every occurrence has lexical patterns: the two words
-before it, and the words on either side. Spark scores the graph of patterns and
-instances in rounds: a pattern is trusted by the share of its distinct instances
-that are known, an instance by its trusted patterns. Candidates in a pattern of
-high confidence are identifiers the fixed patterns do not know; their spans are
-added.
-
-Texts are read in maps without Python, once for the seeds and once for each set
-of contexts or found instances that is looked up: positions come from the lengths
-of matches and of the text between them. What is shuffled after that are
-occurrences (patterns and instances), pre-aggregated to distinct pairs; texts
-are not. Rounds are written to the shared folder.
+numbers; these are the seeds. Texts are then read as words: punctuation stands
+alone, digit groups with single spaces between them are one word, a seed is one
+word that shows only its kind. Every word has two lexical patterns: the two
+words before it, and the words on either side, digits being alike; seeds and
+other words get them from the same array of words.
+
+Spark scores the graph of patterns and instances. A pattern is *looked up* when
+``SUPPORT`` different known instances stand in it and at least half of all the
+words that stand in it are known; so what a look-up finds is no more than what
+is known already. It is *trusted* when a share of ``CONFIDENCE`` of its different
+instances is known, and then all of them are. Both go on until nothing changes:
+trust inside what was looked up, then another look at the texts for the other
+patterns of the instances that became known. Instances of trusted patterns are
+identifiers that the fixed patterns do not know; their spans are added.
+
+The texts are read without Python, once for the seeds and twice a round: to count
+the words in patterns (one sum a pattern leaves a task) and to look up those
+patterns that qualify. Without a qualifying pattern there is no second look, and
+without a new instance no second round. Positions are worked out only for texts
+with a discovered instance, from prefix sums of word lengths.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hedonic.llm.frames import open_frame
-from hedonic.session import materialise
+from hedonic.session import bounded_broadcast, materialise
 
 KINDS = ["email", "ip", "card", "phone"]
 FOUND = "context"
@@ -36,20 +42,22 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-_INNER = r"\p{L}\p{N}@._%+/-"
-#: A run of digit groups, or a token.
-CANDIDATE = (rf"(?<![{_INNER}])(?:[0-9](?:[\x20./-]?[0-9])*+(?![\p{{L}}\p{{N}}@_%+])(?![./-]++[\p{{L}}\p{{N}}])"
-             rf"|[{_INNER}]++)")
-TRIM = "._%+/-@"
-#: Characters of a chunk when a text is cut up for contexts and redaction.
+#: Characters of a chunk when a text is cut up for masking and redaction.
 CHUNK = 4096
-#: Discovered spans that are broadcast at most (some 50 bytes each).
-BROADCAST_SPANS = 500_000
-#: Characters of context kept on each side of an occurrence.
-LEFT, RIGHT = 48, 24
-ROUNDS = 3
-#: A pattern is trusted with this many distinct known instances and this share of known ones.
-SUPPORT, CONFIDENCE = 5, 0.9
+#: Rows of patterns, instances or hits that are broadcast at most (some 50 bytes each).
+BROADCAST_ROWS = 500_000
+#: A pattern is looked up with so many different known instances, and if a share of its words is known.
+SUPPORT, SPECIFIC = 5, 0.5
+#: It is trusted if this share of its different instances is known.
+CONFIDENCE = 0.9
+
+SPACES = "\t\n\x0b\f\r"
+#: Stand alone as words.
+PUNCTUATION = ":,;()<>\"'=[]{}|!?*#&"
+#: Ends of a word that are not part of an instance.
+LEADING, TRAILING = "._%/-", "._%+/-@"
+#: A masked seed's first and last character, and the space inside a run of digit groups.
+OPEN, CLOSE, JOIN = "\ue000", "\ue001", "\ue002"
 
 _BYTE = r"(?:0++|0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?))"
 
@@ -102,18 +110,11 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-_ITEM = "array<struct<start:bigint,rank:int,kind:string,end:bigint,value:string,left:string,right:string>>"
-
-
-def _cut(chunks: Column, a: Column, b: Column) -> Column:
-    """Characters a to b of a text in chunks, b - a being less than a chunk."""
-    first = F.floor(a / CHUNK).cast("int")
-    two = F.concat(F.element_at(chunks, first + 1), F.coalesce(F.try_element_at(chunks, first + 2), F.lit("")))
-    return F.when(b <= a, "").otherwise(F.substring(two, (a % CHUNK + 1).cast("int"), (b - a).cast("int")))
+_ITEM = "array<struct<start:bigint,rank:int,kind:string,end:bigint,value:string>>"
 
 
 def add_occurrences(df: DataFrame, text: str) -> DataFrame:
-    """Adds ``items``: every valid base match, with its span and the text around it."""
+    """Adds ``items``: every valid base match, with its span."""
     none, no_items = F.array().cast("array<string>"), F.array().cast(_ITEM)
     body = F.col("body")
     df = df.withColumn("body", F.coalesce(F.col(text).cast("string"), F.lit("")))
@@ -134,153 +135,213 @@ def add_occurrences(df: DataFrame, text: str) -> DataFrame:
         def item(i: Column) -> Column:
             value = F.element_at(m, i)
             return F.struct((F.element_at(e, i) - F.length(value)).alias("start"), F.lit(rank).alias("rank"),
-                            F.lit(k).alias("kind"), F.element_at(e, i).cast("long").alias("end"), value.alias("value"),
-                            F.lit("").alias("left"), F.lit("").alias("right"))
+                            F.lit(k).alias("kind"), F.element_at(e, i).cast("long").alias("end"), value.alias("value"))
 
         every = F.filter(F.transform(F.sequence(F.lit(1), F.size(m)), item), lambda x: _valid(k, x["value"]))
         return F.when(F.size(m) == 0, no_items).otherwise(every.cast(_ITEM))
 
-    df = df.withColumn("bare", F.concat(*[items(k, i) for i, k in enumerate(KINDS)]))
-    df = df.withColumn("chunks", F.when(F.size("bare") > 0, F.regexp_extract_all(
-        body, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))).otherwise(none))
-
-    def around(x: Column) -> Column:
-        return F.struct(x["start"].alias("start"), x["rank"].alias("rank"), x["kind"].alias("kind"), x["end"].alias("end"),
-                        x["value"].alias("value"),
-                        _cut(F.col("chunks"), F.greatest(x["start"] - LEFT, F.lit(0)), x["start"]).alias("left"),
-                        _cut(F.col("chunks"), x["end"], F.least(x["end"] + RIGHT, F.length(body).cast("long"))).alias("right"))
-
-    return df.withColumn("items", F.transform("bare", around).cast(_ITEM)).drop(
-        "body", "bare", "chunks", *[f"{x}_{k}" for x in "mpe" for k in PATTERNS])
-
-
-def patterns_of(left: Column, right: Column) -> Column:
-    """Lexical patterns of one occurrence: two words before; the words on either side. Digits are alike."""
-
-    def plain(x: Column) -> Column:
-        x = F.lower(F.translate(x, "123456789\t\n\x0b\f\r", "000000000     "))
-        return F.trim(F.when(F.contains(x, F.lit("  ")), F.regexp_replace(x, " +", " ")).otherwise(x))
-
-    before, after = plain(left), plain(right)
-    return F.array(F.concat(F.lit("L "), F.substring_index(before, " ", -2)),
-                   F.concat(F.lit("B "), F.substring_index(before, " ", -1), F.lit(" _ "),
-                            F.substring_index(after, " ", 1)))
-
-
-def candidates(scanned: DataFrame, wanted: DataFrame, by: str) -> DataFrame:
-    """``row, start, end, instance, pattern`` of the tokens that touch no base span and whose ``by`` (pattern or
-    instance) is in ``wanted``. A context is put together from six tokens on each side."""
-    body = F.coalesce(F.col("source").cast("string"), F.lit(""))
-
-    def split(df: DataFrame) -> DataFrame:
-        return df.withColumns({"m": F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)),
-                               "p": F.split(body, CANDIDATE, -1)}).drop("source")
-
-    def shifted(array: str, k: int) -> Column:  # entry i is that of i + k, and empty beyond the ends
-        none = F.array_repeat(F.lit(""), F.least(F.lit(abs(k)), F.size(array)))
-        keep = F.greatest(F.size(array) - abs(k), F.lit(0))
-        return F.concat(none, F.slice(array, F.lit(1), keep)) if k < 0 else \
-            F.concat(F.slice(array, F.lit(k + 1), keep), none)
-
-    def joined(df: DataFrame, name: str, a: str, k: int, b: str) -> DataFrame:
-        """Text k tokens before (or after) and text here."""
-        pair = (lambda x, y: F.right(F.concat(x, y), F.lit(LEFT))) if k < 0 else \
-            (lambda x, y: F.left(F.concat(y, x), F.lit(RIGHT)))
-        return df.withColumn(name, F.zip_with(shifted(a, k), b, pair))
-
-    df = split(scanned.select("row", "source")).where(F.size("m") > 0)
-    df = df.withColumn("u", F.zip_with(F.slice("p", F.lit(1), F.size("m")), "m", lambda x, y: F.concat(x, y)))
-    for side, one in (("l", -1), ("r", 1)):
-        df = joined(joined(df, side + "2", "u", one, "u"), side + "4", side + "2", 2 * one, side + "2")
-        df = joined(df, side + "6", side + "4", 2 * one, side + "2")
-    df = df.select("row", F.posexplode(F.arrays_zip("m", F.slice("p", F.lit(1), F.size("m")).alias("gap"),
-                                                    shifted("l6", -1).alias("before"), shifted("r6", 1).alias("after"))))
-    df = df.select("row", F.col("pos").alias("i"), F.col("col.m").alias("token"), F.rtrim("col.m", F.lit(TRIM)).alias(
-        "value"), "col.gap", "col.before", "col.after").where(F.length("value") > 0)
-    df = df.withColumn("instance", F.lower("value"))
-    found = F.broadcast(wanted) if wanted.count() <= BROADCAST_SPANS else wanted
-    if by == "instance":
-        df = df.join(found, "instance")
-    left = F.right(F.concat("before", "gap"), F.lit(LEFT))
-    right = F.left(F.concat(F.expr("substring(token, length(value) + 1)"), "after"), F.lit(RIGHT))
-    df = df.select("row", "i", F.length("value").alias("n"), "instance", F.explode(patterns_of(left, right)).alias(
-        "pattern"))
-    if by == "pattern":
-        df = df.join(found, "pattern")
-    hits = materialise(df.select("row", "i", "n", "instance", "pattern"))
-    # positions, from the texts that have hits
-    at = hits.select("row", "i", "n").distinct().groupBy("row").agg(F.collect_list(F.struct("i", "n")).alias("hits"))
-    at = F.broadcast(at) if hits.count() <= BROADCAST_SPANS else at
-    texts = split(scanned.select("row", "source", "items").join(at, "row"))
-
-    def place(h: Column) -> Column:
-        start = F.length(F.array_join(F.slice("m", F.lit(1), h["i"]), "")) + F.length(
-            F.array_join(F.slice("p", F.lit(1), h["i"] + 1), ""))
-        return F.struct(h["i"].alias("i"), start.cast("long").alias("start"), (start + h["n"]).cast("long").alias("end"))
-
-    placed = texts.select("row", "items", F.transform("hits", place).alias("hits")).select(
-        "row", F.explode(F.filter("hits", lambda h: ~F.exists(
-            "items", lambda x: (x["start"] < h["end"]) & (x["end"] > h["start"])))).alias("h")).select("row", "h.*")
-    return materialise(hits.join(placed, ["row", "i"]).select("row", "start", "end", "instance", "pattern"))
-
-
-def score_patterns(pairs: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT,
-                   confidence: float = CONFIDENCE) -> DataFrame:
-    """Trusted patterns of a table of distinct (pattern, instance, seed): ``pattern, trust``.
-
-    A round gives each pattern the mean belief in its distinct instances, and each instance that is no seed the belief
-    1 - prod(1 - trust) over its trusted patterns.
-    """
-    beliefs = materialise(pairs.select("pattern", "instance", "seed", F.col("seed").cast("double").alias("belief")))
-    for k in range(rounds):
-        known = F.sum((F.col("belief") >= confidence).cast("long"))
-        trusted = beliefs.groupBy("pattern").agg(known.alias("known"), F.avg("belief").alias("trust")).where(
-            (F.col("known") >= support) & (F.col("trust") >= confidence)).select("pattern", "trust")
-        if k == rounds - 1:
-            return trusted
-        doubt = F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("trust"))))
-        found = beliefs.where(~F.col("seed")).join(trusted, "pattern").groupBy("instance").agg(
-            (1 - F.exp(doubt)).alias("new"))
-        beliefs = materialise(beliefs.join(found, "instance", "left").select(
-            "pattern", "instance", "seed",
-            F.when(F.col("seed"), F.lit(1.0)).otherwise(F.coalesce("new", F.lit(0.0))).alias("belief")))
-    raise ValueError("at least one round")
-
-
-def discover(scanned: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(row, found): (start, end) of candidates that stand in a trusted pattern and touch no base span.
-
-    A pattern without ``SUPPORT`` known instances cannot be trusted, so only the others are looked up in the texts;
-    what they find may make more patterns known.
-    """
-    seeds = materialise(scanned.where(F.size("items") > 0).select(F.explode("items").alias("i")).select(
-        F.lower("i.value").alias("instance"), F.explode(patterns_of(F.col("i.left"), F.col("i.right"))).alias(
-            "pattern")).distinct())
-    known, looked, hits, trusted = seeds, None, None, None
-    for k in range(rounds):
-        wanted = known.groupBy("pattern").agg(F.countDistinct("instance").alias("n")).where(
-            F.col("n") >= SUPPORT).select("pattern")
-        wanted = materialise(wanted if looked is None else wanted.join(looked, "pattern", "left_anti"))
-        if k and wanted.isEmpty():
+    return df.withColumn("items", F.concat(*[items(k, i) for i, k in enumerate(KINDS)])).drop(
+        "body", *[f"{x}_{k}" for x in "mpe" for k in PATTERNS])
+
+
+# ---------------------------------------------------------------- words and their patterns
+def _swap(text: Column, chars: str, to: str) -> Column:
+    for c in chars:
+        text = F.replace(text, F.lit(c), F.lit(to.format(c) if to else ""))
+    return text
+
+
+def plain(text: Column) -> Column:
+    """Lower case, all spaces alike, none of the masks' characters; every character stays one."""
+    return F.lower(_swap(_swap(_swap(text, "\u0130", "i"), OPEN + CLOSE + JOIN, "?"), SPACES, " "))
+
+
+def spaced(text: Column) -> Column:
+    """Words with one space between them: punctuation apart, digit groups joined. The other characters stay as they are."""
+    out = _swap(text, PUNCTUATION, " {} ")
+    out = F.when(out.rlike("[0-9] [0-9]"), F.regexp_replace(out, "(?<=[0-9]) (?=[0-9])", JOIN)).otherwise(out)
+    for _ in range(3):
+        out = F.replace(out, F.lit("  "), F.lit(" "))
+    return F.trim(F.when(F.contains(out, F.lit("  ")), F.regexp_replace(out, " +", " ")).otherwise(out))
+
+
+def _cutter(body: Column):
+    """Function of (from, to) that cuts a text without scanning it from its beginning."""
+    chunks = F.regexp_extract_all(body, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+    def cut(a: Column, b: Column) -> Column:
+        first, last = F.floor(a / CHUNK).cast("int"), F.floor((b - 1) / CHUNK).cast("int")
+        one = F.substring(F.element_at(chunks, first + 1), (a % CHUNK + 1).cast("int"), (b - a).cast("int"))
+        many = F.concat(F.substring(F.element_at(chunks, first + 1), (a % CHUNK + 1).cast("int"), F.lit(CHUNK)),
+                        F.array_join(F.slice(chunks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+                        F.substring(F.element_at(chunks, last + 1), F.lit(1), ((b - 1) % CHUNK + 1).cast("int")))
+        return F.when(b <= a, "").when(first == last, one).otherwise(many)
+
+    return cut
+
+
+def replace_spans(body: Column, spans: Column, label) -> Column:
+    """The text with ``label(span, from, cut)`` for what each span (sorted by start) covers that none before it does."""
+    cut = _cutter(body)
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        begin = F.greatest(acc["at"], s["start"])
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
+                        F.when(s["end"] > acc["at"], F.concat(acc["out"], F.array(
+                            cut(acc["at"], begin), label(s, begin, cut)))).otherwise(acc["out"]).alias("out"))
+
+    return F.aggregate(spans, start, step, lambda acc: F.array_join(
+        F.concat(acc["out"], F.array(cut(acc["at"], F.length(body).cast("long")))), ""))
+
+
+def _masked(body: Column, items: Column, shown) -> Column:
+    """Spaced plain text in which each seed is one word: the opening mark, ``shown(seed)``, an x, the number of its
+    characters that are no spaces, the closing mark."""
+    def label(s: Column, begin: Column, cut) -> Column:
+        size = F.length(_swap(cut(begin, s["end"]), " ", ""))
+        whole = F.when(begin == s["start"], shown(s)).otherwise(F.lit("rest"))
+        return F.concat(F.lit(f" {OPEN}"), whole, F.lit("x"), size.cast("string"), F.lit(f"{CLOSE} "))
+
+    return F.when(F.size(items) > 0, spaced(replace_spans(body, items, label))).otherwise(spaced(body))
+
+
+def add_words(scanned: DataFrame) -> DataFrame:
+    """Adds ``words`` and, of the same size, ``context``: what a word is to its neighbours."""
+    body = plain(F.coalesce(F.col("source").cast("string"), F.lit("")))
+    df = scanned.withColumns({"_b": body, "_i": F.array_sort("items")})
+    df = df.withColumns({"_w": _masked(F.col("_b"), F.col("_i"), lambda s: F.lower(F.hex(F.xxhash64(F.lower(s["value"]))))),
+                         "_c": _swap(_masked(F.col("_b"), F.col("_i"), lambda s: s["kind"]), "123456789", "0")})
+    # the length behind a mask is no part of the context
+    context = F.when(F.size("_i") > 0, F.regexp_replace("_c", f"x[0-9]+{CLOSE}", CLOSE)).otherwise(F.col("_c"))
+    return df.withColumns({"words": F.split("_w", " "), "context": F.split(context, " ")}).drop("_b", "_i", "_w", "_c")
+
+
+def occurrences(scanned: DataFrame) -> DataFrame:
+    """``row, i, word, pattern``: both patterns of every word; the first of a text has but the second."""
+    df = add_words(scanned.select("row", "source", "items"))
+    n, c, none = F.size("words"), F.col("context"), F.array(F.lit(""))
+    df = df.select("row", F.posexplode(F.arrays_zip(
+        F.col("words").alias("w"), F.slice(F.concat(none, none, c), F.lit(1), n).alias("p"),
+        F.slice(F.concat(none, c), F.lit(1), n).alias("q"), F.slice(F.concat(c, none), F.lit(2), n).alias("r"))))
+    left = F.when(F.col("col.q") != "", F.xxhash64(F.lit("L"), "col.p", "col.q"))
+    both = F.xxhash64(F.lit("B"), "col.q", "col.r")
+    return df.select("row", F.col("pos").alias("i"), F.col("col.w").alias("word"), F.explode(F.array(left, both)).alias(
+        "pattern")).where("pattern IS NOT NULL")
+
+
+def is_seed(word: Column) -> Column:
+    return F.startswith(word, F.lit(OPEN))
+
+
+def instance_of(word: Column) -> Column:
+    """What is known or not: a seed's key, or a word without the points and dashes at its ends; null for none."""
+    bare = F.ltrim(F.rtrim(word, F.lit(TRAILING)), F.lit(LEADING))
+    return F.when(is_seed(word), F.when(~F.startswith(word, F.lit(OPEN + "rest")), F.substring_index(word, "x", 1))) \
+            .otherwise(F.when(bare.rlike(r"[\p{L}\p{N}]"), bare))
+
+
+def _few(df: DataFrame) -> DataFrame:
+    return bounded_broadcast(df, BROADCAST_ROWS)
+
+
+# ---------------------------------------------------------------- the graph
+def settle(pairs: DataFrame, known: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE) -> tuple[DataFrame, DataFrame]:
+    """(trusted patterns, all known instances) of distinct (pattern, instance) and the instances known at first: a
+    pattern is trusted by the share of known ones, and its instances are known then, until nothing changes."""
+    trusted, n = None, 0
+    while True:
+        of = pairs.join(known.withColumn("k", F.lit(1)), "instance", "left").groupBy("pattern").agg(
+            F.count("k").alias("known"), F.count("*").alias("n"))
+        trusted = materialise(of.where((F.col("known") >= support) & (F.col("known") >= confidence * F.col("n"))).select("pattern"))
+        now = trusted.count()
+        if now == n:
+            return trusted, known
+        n = now
+        known = materialise(known.unionByName(pairs.join(_few(trusted), "pattern", "left_semi").select("instance")).distinct())
+
+
+def discover(scanned: DataFrame, support: int = SUPPORT, specific: float = SPECIFIC, confidence: float = CONFIDENCE) -> DataFrame:
+    """(row, i, instance) of the words that are no seeds and stand in a trusted pattern; ``scanned``: row, source, items."""
+    seeds = occurrences(scanned.where(F.size("items") > 0)).where(is_seed(F.col("word"))).select(
+        "pattern", instance_of(F.col("word")).alias("instance"))
+    known_in = materialise(seeds.where("instance IS NOT NULL").groupBy("pattern", "instance").agg(F.count("*").alias("n")))
+    known = materialise(known_in.select("instance").distinct())
+    counted, looked, hits = None, None, None
+    while True:
+        # patterns of enough known instances, counted in the texts where they are new
+        of = materialise(known_in.groupBy("pattern").agg(F.count("*").alias("k"), F.sum("n").alias("n_known")).where(
+            F.col("k") >= support))
+        new = of.select("pattern") if counted is None else of.join(counted, "pattern", "left_anti").select("pattern")
+        new = materialise(new)
+        if not new.isEmpty():
+            total = occurrences(scanned).join(_few(new), "pattern").where(instance_of(F.col("word")).isNotNull()).groupBy(
+                "pattern").agg(F.count("*").alias("n"))
+            total = materialise(total)
+            counted = total if counted is None else counted.unionByName(total)
+        if counted is None:
             break
-        looked = wanted if looked is None else looked.unionByName(wanted)
-        new = candidates(scanned, wanted, "pattern")
-        hits = new if hits is None else hits.unionByName(new)
-        pairs = seeds.withColumn("seed", F.lit(True)).unionByName(
-            hits.join(seeds.select("instance").distinct(), "instance", "left_anti").select(
-                "instance", "pattern", F.lit(False).alias("seed"))).distinct()
-        trusted = materialise(score_patterns(pairs, rounds))
-        if k < rounds - 1:
-            found = materialise(hits.join(trusted, "pattern", "left_semi").select("instance").distinct())
-            if found.isEmpty():
-                break
-            known = seeds.unionByName(candidates(scanned, found, "instance").select("instance", "pattern")).distinct()
-    hits = hits.join(trusted.select("pattern"), "pattern", "left_semi").select("row", "start", "end").distinct()
-    return hits.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("found"))
-
-
-def find_personal_data(df: DataFrame, text: str = "text", keep: list[str] | None = None,
-                       rounds: int = ROUNDS) -> DataFrame:
+        fit = of.join(counted, "pattern").where(F.col("n_known") >= specific * F.col("n")).select("pattern")
+        fit = materialise(fit if looked is None else fit.join(looked, "pattern", "left_anti"))
+        if fit.isEmpty():
+            break
+        looked = fit if looked is None else looked.unionByName(fit)
+        found = occurrences(scanned).join(_few(fit), "pattern").where(~is_seed(F.col("word"))).select(
+            "row", "i", "pattern", instance_of(F.col("word")).alias("instance")).where("instance IS NOT NULL")
+        found = materialise(found)
+        hits = found if hits is None else hits.unionByName(found)
+        pairs = materialise(hits.select("pattern", "instance").unionByName(known_in.join(looked, "pattern", "left_semi").select(
+            "pattern", "instance")).distinct())
+        trusted, everything = settle(pairs, known, support, confidence)
+        fresh = materialise(everything.join(known, "instance", "left_anti"))
+        known = everything
+        if fresh.isEmpty():
+            break
+        # the other patterns in which the new ones stand
+        more = occurrences(scanned).withColumn("instance", instance_of(F.col("word"))).join(_few(fresh), "instance").groupBy(
+            "pattern", "instance").agg(F.count("*").alias("n"))
+        known_in = materialise(known_in.unionByName(more))
+    if hits is None:
+        return scanned.sparkSession.createDataFrame([], "row long, i int, instance string")
+    return materialise(hits.join(_few(trusted), "pattern", "left_semi").select("row", "i", "instance").distinct())
+
+
+def place(scanned: DataFrame, hits: DataFrame) -> DataFrame:
+    """(row, found): the spans (start, end) of words given by their place in a text. Words and text have the same
+    characters but for spaces, so a word is found by the number of those before it."""
+    def bare(w: Column) -> Column:  # characters of a word that are no spaces
+        return F.when(is_seed(w), F.regexp_extract(w, f"x([0-9]+){CLOSE}", 1).cast("long")).otherwise(
+            F.length(_swap(w, JOIN, "")).cast("long"))
+
+    at = hits.groupBy("row").agg(F.collect_list(F.struct("i", "instance")).alias("hits"))
+    texts = add_words(scanned.select("row", "source", "items").join(_few(at), "row"))
+    texts = texts.withColumn("body", F.coalesce(F.col("source").cast("string"), F.lit("")))
+    texts = texts.withColumn("sums", running_sums(F.transform("words", bare)))
+
+    def ends(h: Column) -> Column:
+        word, size = F.element_at("words", h["i"] + 1), F.length(_swap(h["instance"], JOIN, "")).cast("long")
+        lead = F.length(word) - F.length(F.ltrim(word, F.lit(LEADING)))
+        first = F.element_at("sums", h["i"] + 1) - bare(word) + lead
+        return F.struct(h["i"].alias("i"), first.alias("first"), (first + size - 1).alias("last"))
+
+    hit = texts.select("row", F.explode(F.transform("hits", ends)).alias("h")).select("row", "h.*")
+    hit = hit.select("row", "i", F.explode(F.array("first", "last")).alias("at"))
+    run = rf"[^ {SPACES}]+"
+    texts = texts.select("row", F.regexp_extract_all("body", F.lit(run), F.lit(0)).alias("m"), F.split("body", run, -1).alias("p"))
+    sizes = (F.transform("m", lambda x: F.length(x).cast("long")),
+             F.transform(F.slice("p", F.lit(1), F.size("m")), lambda x: F.length(x).cast("long")))
+    texts = texts.select("row", F.explode(F.arrays_zip(sizes[0].alias("n"), running_sums(sizes[0]).alias("to"),
+                                                       running_sums(sizes[1]).alias("gap"))).alias("r"))
+    begin = F.col("r.to") - F.col("r.n")
+    runs = texts.select("row", F.lit(None).cast("int").alias("i"), begin.alias("at"), F.col("r.gap").alias("gap"))
+    order = Window.partitionBy("row").orderBy("at", F.col("i").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    both = runs.unionByName(hit.withColumn("gap", F.lit(None).cast("long")))
+    placed = both.select("row", "i", (F.col("at") + F.last("gap", ignorenulls=True).over(order)).alias("pos")).where("i IS NOT NULL")
+    spans = placed.groupBy("row", "i").agg(F.min("pos").alias("start"), (F.max("pos") + 1).alias("end"))
+    return spans.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("found"))
+
+
+def find_personal_data(df: DataFrame, text: str = "text", keep: list[str] | None = None, **options) -> DataFrame:
     """Columns ``keep`` (default: all) plus ``base`` and ``spans``: arrays of (start, rank, kind, end).
 
     Positions are code points, the end exclusive; spans are sorted by start,
@@ -288,15 +349,16 @@ def find_personal_data(df: DataFrame, text: str = "text", keep: list[str] | None
     discovered ones (kind ``context``). Null and empty texts have none. Rows
     that repeat are each returned; an empty table gives no rows; texts of any
     length are read whole; a kept column with the name of an output is replaced.
+    ``options``: ``support``, ``specific`` and ``confidence`` of ``discover``.
     """
     inner = open_frame(df, keep, ("base", "spans"))
     src = inner.df.select(*inner.kept, F.col(inner.name(text)).alias("source"))
     scanned = add_occurrences(src, "source")
     scanned = materialise(scanned.withColumn("row", F.monotonically_increasing_id()))
-    found = materialise(discover(scanned.select("row", "source", "items"), rounds).withColumnRenamed("row", "at"))
+    known = scanned.select("row", "source", "items")
+    hits = discover(known, **options)
     # while the discovered spans are few they go to the texts, else the texts are shuffled
-    n = found.agg(F.sum(F.size("found"))).first()[0] or 0
-    found = F.broadcast(found) if n <= BROADCAST_SPANS else found
+    found = _few(materialise(place(known, hits).withColumnRenamed("row", "at")))
     spans = F.transform("items", lambda x: F.struct(
         x["start"].alias("start"), x["rank"].alias("rank"), x["kind"].alias("kind"), x["end"].alias("end")))
     out = scanned.withColumn("base", F.array_sort(spans)).drop("items", "source").join(found, F.col("row") == F.col("at"), "left")
@@ -323,27 +385,8 @@ def digest(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
 
 def redact(body: Column, spans: Column) -> Column:
     """The text with every span replaced by its kind in angle brackets; overlapping spans are one, with the first's."""
-    chunks = F.regexp_extract_all(body, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))  # so that no cut scans a long text
-
-    def cut(a: Column, b: Column) -> Column:
-        first, last = F.floor(a / CHUNK).cast("int"), F.floor((b - 1) / CHUNK).cast("int")
-        one = F.substring(F.element_at(chunks, first + 1), (a % CHUNK + 1).cast("int"), (b - a).cast("int"))
-        many = F.concat(F.substring(F.element_at(chunks, first + 1), (a % CHUNK + 1).cast("int"), F.lit(CHUNK)),
-                        F.array_join(F.slice(chunks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
-                        F.substring(F.element_at(chunks, last + 1), F.lit(1), ((b - 1) % CHUNK + 1).cast("int")))
-        return F.when(b <= a, "").when(first == last, one).otherwise(many)
-
-    zero = F.lit(0).cast("long")
-    start = F.struct(zero.alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        apart = F.concat(acc["out"], F.array(cut(acc["at"], s["start"]), F.concat(F.lit("<"), F.upper(s["kind"]),
-                                                                                 F.lit(">"))))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(s["start"] >= acc["at"], apart).otherwise(acc["out"]).alias("out"))
-
-    return F.aggregate(spans, start, step, lambda acc: F.array_join(
-        F.concat(acc["out"], F.array(cut(acc["at"], F.length(body).cast("long")))), ""))
+    return replace_spans(body, spans, lambda s, begin, cut: F.when(begin == s["start"], F.concat(
+        F.lit("<"), F.upper(s["kind"]), F.lit(">"))).otherwise(""))
 
 
 def redact_documents(df: DataFrame, text: str = "text", n_chars: str = "n_chars", **options) -> DataFrame:

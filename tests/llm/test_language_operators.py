@@ -271,7 +271,7 @@ def variants(rng, n_words=60):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_spelling(spark, seed):
     rng = random.Random(seed)
-    said = variants(rng)
+    said = variants(rng) + ["ghijklmn"] * 400 + ["ghijklmx"] * 30 + ["ghijklmxy"] * 2  # a chain of two forms
     rng.shuffle(said)
     cut = [said[i:i + 40] for i in range(0, len(said), 40)]
     rows = [(i if i % 9 else None, "×! ".join(w.upper() if rng.random() < 0.1 else w for w in ws)) for i, ws in enumerate(cut)]
