@@ -51,13 +51,16 @@ SUPPORT, SPECIFIC = 5, 0.5
 #: It is trusted if this share of its different instances is known.
 CONFIDENCE = 0.9
 
-SPACES = "\t\n\x0b\f\r"
+SPACES = r" \t\n\x0B\f\r"
 #: Stand alone as words.
-PUNCTUATION = ":,;()<>\"'=[]{}|!?*#&"
+PUNCTUATION = r""":,;()<>"'=\[\]{}|!?*#&"""
 #: Ends of a word that are not part of an instance.
 LEADING, TRAILING = "._%/-", "._%+/-@"
-#: A masked seed's first and last character, and the space inside a run of digit groups.
-OPEN, CLOSE, JOIN = "\ue000", "\ue001", "\ue002"
+#: A masked seed's first and last character.
+OPEN, CLOSE = "\ue000", "\ue001"
+#: A word, which may hold single spaces between digits; a character of punctuation; a masked seed.
+WORD = (rf"(?:[^{SPACES}{PUNCTUATION}{OPEN}]++(?:(?<=[0-9]) (?=[0-9]))?+)++|[{PUNCTUATION}]"
+        rf"|{OPEN}[^{CLOSE}]*+{CLOSE}")
 
 _BYTE = r"(?:0++|0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?))"
 
@@ -145,24 +148,14 @@ def add_occurrences(df: DataFrame, text: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- words and their patterns
-def _swap(text: Column, chars: str, to: str) -> Column:
-    for c in chars:
-        text = F.replace(text, F.lit(c), F.lit(to.format(c) if to else ""))
-    return text
-
-
 def plain(text: Column) -> Column:
-    """Lower case, all spaces alike, none of the masks' characters; every character stays one."""
-    return F.lower(_swap(_swap(_swap(text, "\u0130", "i"), OPEN + CLOSE + JOIN, "?"), SPACES, " "))
+    """Lower case, without the masks' first character; every character stays one."""
+    return F.lower(F.replace(F.replace(text, F.lit("\u0130"), F.lit("i")), F.lit(OPEN), F.lit("?")))
 
 
-def spaced(text: Column) -> Column:
-    """Words with one space between them: punctuation apart, digit groups joined. The other characters stay as they are."""
-    out = _swap(text, PUNCTUATION, " {} ")
-    out = F.when(out.rlike("[0-9] [0-9]"), F.regexp_replace(out, "(?<=[0-9]) (?=[0-9])", JOIN)).otherwise(out)
-    for _ in range(3):
-        out = F.replace(out, F.lit("  "), F.lit(" "))
-    return F.trim(F.when(F.contains(out, F.lit("  ")), F.regexp_replace(out, " +", " ")).otherwise(out))
+def _solid(text: Column) -> Column:
+    """Number of characters that are no spaces."""
+    return F.length(F.translate(text, " \t\n\x0b\f\r", "")).cast("long")
 
 
 def _cutter(body: Column):
@@ -195,34 +188,39 @@ def replace_spans(body: Column, spans: Column, label) -> Column:
         F.concat(acc["out"], F.array(cut(acc["at"], F.length(body).cast("long")))), ""))
 
 
-def _masked(body: Column, items: Column, shown) -> Column:
-    """Spaced plain text in which each seed is one word: the opening mark, ``shown(seed)``, an x, the number of its
-    characters that are no spaces, the closing mark."""
+def _masked(body: str, shown) -> Column:
+    """The text with each seed as one word: the opening mark, ``shown(seed, characters that are no spaces)``, the closing
+    mark. What a seed covers beyond one before it is a word of its own, shown as that of a null seed."""
     def label(s: Column, begin: Column, cut) -> Column:
-        size = F.length(_swap(cut(begin, s["end"]), " ", ""))
-        whole = F.when(begin == s["start"], shown(s)).otherwise(F.lit("rest"))
-        return F.concat(F.lit(f" {OPEN}"), whole, F.lit("x"), size.cast("string"), F.lit(f"{CLOSE} "))
-
-    return F.when(F.size(items) > 0, spaced(replace_spans(body, items, label))).otherwise(spaced(body))
-
-
-def add_words(scanned: DataFrame) -> DataFrame:
-    """Adds ``words`` and, of the same size, ``context``: what a word is to its neighbours."""
-    body = plain(F.coalesce(F.col("source").cast("string"), F.lit("")))
-    df = scanned.withColumns({"_b": body, "_i": F.array_sort("items")})
-    df = df.withColumns({"_w": _masked(F.col("_b"), F.col("_i"), lambda s: F.lower(F.hex(F.xxhash64(F.lower(s["value"]))))),
-                         "_c": _swap(_masked(F.col("_b"), F.col("_i"), lambda s: s["kind"]), "123456789", "0")})
-    # the length behind a mask is no part of the context
-    context = F.when(F.size("_i") > 0, F.regexp_replace("_c", f"x[0-9]+{CLOSE}", CLOSE)).otherwise(F.col("_c"))
-    return df.withColumns({"words": F.split("_w", " "), "context": F.split(context, " ")}).drop("_b", "_i", "_w", "_c")
-
-
-def occurrences(scanned: DataFrame) -> DataFrame:
-    """``row, i, word, pattern``: both patterns of every word; the first of a text has but the second."""
-    df = add_words(scanned.select("row", "source", "items"))
-    n, c, none = F.size("words"), F.col("context"), F.array(F.lit(""))
+        return F.concat(F.lit(OPEN), shown(F.when(begin == s["start"], s), _solid(cut(begin, s["end"]))), F.lit(CLOSE))
+
+    return F.when(F.size("items") > 0, replace_spans(F.col(body), F.col("items"), label)).otherwise(F.col(body))
+
+
+def add_words(scanned: DataFrame, words: bool = True) -> DataFrame:
+    """``row``, ``context``: the words as their neighbours see them, digits being alike and seeds their kind; and
+    ``words``: as they are, seeds a key of the value, an x and their length."""
+    df = scanned.select("row", F.array_sort("items").alias("items"),
+                        plain(F.coalesce(F.col("source").cast("string"), F.lit(""))).alias("b"))
+    df = df.withColumn("c", _masked("b", lambda s, n: F.coalesce(s["kind"], F.lit("rest"))))
+    df = df.withColumn("c", F.regexp_replace("c", "[1-9]", "0"))
+    df = df.withColumn("context", F.regexp_extract_all("c", F.lit(WORD), F.lit(0)))
+    if words:
+        key = lambda s: F.coalesce(F.lower(F.hex(F.xxhash64(s["value"]))), F.lit("rest"))
+        df = df.withColumn("items", F.transform("items", lambda s: s.withField("value", F.lower(s["value"]))))
+        df = df.withColumn("w", _masked("b", lambda s, n: F.concat(key(s), F.lit("x"), n.cast("string"))))
+        df = df.withColumn("words", F.regexp_extract_all("w", F.lit(WORD), F.lit(0)))
+    return df.select("row", "context", *["words"] * words)
+
+
+def occurrences(scanned: DataFrame, words: bool = True) -> DataFrame:
+    """``row, i, word, pattern``: both patterns of every word, but for the first of a text, which has only the second.
+    Without ``words`` a word is what its neighbours see."""
+    df = add_words(scanned.select("row", "source", "items"), words)
+    c, none = F.col("context"), F.array(F.lit(""))
+    n = F.size(c)
     df = df.select("row", F.posexplode(F.arrays_zip(
-        F.col("words").alias("w"), F.slice(F.concat(none, none, c), F.lit(1), n).alias("p"),
+        F.col("words" if words else "context").alias("w"), F.slice(F.concat(none, none, c), F.lit(1), n).alias("p"),
         F.slice(F.concat(none, c), F.lit(1), n).alias("q"), F.slice(F.concat(c, none), F.lit(2), n).alias("r"))))
     left = F.when(F.col("col.q") != "", F.xxhash64(F.lit("L"), "col.p", "col.q"))
     both = F.xxhash64(F.lit("B"), "col.q", "col.r")
@@ -275,7 +273,7 @@ def discover(scanned: DataFrame, support: int = SUPPORT, specific: float = SPECI
         new = of.select("pattern") if counted is None else of.join(counted, "pattern", "left_anti").select("pattern")
         new = materialise(new)
         if not new.isEmpty():
-            total = occurrences(scanned).join(_few(new), "pattern").where(instance_of(F.col("word")).isNotNull()).groupBy(
+            total = occurrences(scanned, words=False).join(_few(new), "pattern").where(instance_of(F.col("word")).isNotNull()).groupBy(
                 "pattern").agg(F.count("*").alias("n"))
             total = materialise(total)
             counted = total if counted is None else counted.unionByName(total)
@@ -309,25 +307,24 @@ def discover(scanned: DataFrame, support: int = SUPPORT, specific: float = SPECI
 def place(scanned: DataFrame, hits: DataFrame) -> DataFrame:
     """(row, found): the spans (start, end) of words given by their place in a text. Words and text have the same
     characters but for spaces, so a word is found by the number of those before it."""
-    def bare(w: Column) -> Column:  # characters of a word that are no spaces
-        return F.when(is_seed(w), F.regexp_extract(w, f"x([0-9]+){CLOSE}", 1).cast("long")).otherwise(
-            F.length(_swap(w, JOIN, "")).cast("long"))
+    def bare(w: Column) -> Column:
+        return F.when(is_seed(w), F.regexp_extract(w, f"x([0-9]+){CLOSE}", 1).cast("long")).otherwise(_solid(w))
 
     at = hits.groupBy("row").agg(F.collect_list(F.struct("i", "instance")).alias("hits"))
-    texts = add_words(scanned.select("row", "source", "items").join(_few(at), "row"))
-    texts = texts.withColumn("body", F.coalesce(F.col("source").cast("string"), F.lit("")))
-    texts = texts.withColumn("sums", running_sums(F.transform("words", bare)))
+    source = scanned.select("row", "source", "items").join(_few(at), "row")
+    texts = add_words(source).select("row", "words", running_sums(F.transform("words", bare)).alias("sums"))
+    texts = texts.join(_few(at), "row")
 
     def ends(h: Column) -> Column:
-        word, size = F.element_at("words", h["i"] + 1), F.length(_swap(h["instance"], JOIN, "")).cast("long")
+        word, size = F.element_at("words", h["i"] + 1), _solid(h["instance"])
         lead = F.length(word) - F.length(F.ltrim(word, F.lit(LEADING)))
         first = F.element_at("sums", h["i"] + 1) - bare(word) + lead
         return F.struct(h["i"].alias("i"), first.alias("first"), (first + size - 1).alias("last"))
 
     hit = texts.select("row", F.explode(F.transform("hits", ends)).alias("h")).select("row", "h.*")
     hit = hit.select("row", "i", F.explode(F.array("first", "last")).alias("at"))
-    run = rf"[^ {SPACES}]+"
-    texts = texts.select("row", F.regexp_extract_all("body", F.lit(run), F.lit(0)).alias("m"), F.split("body", run, -1).alias("p"))
+    run, body = rf"[^{SPACES}]+", F.col("source").cast("string")
+    texts = source.select("row", F.regexp_extract_all(body, F.lit(run), F.lit(0)).alias("m"), F.split(body, run, -1).alias("p"))
     sizes = (F.transform("m", lambda x: F.length(x).cast("long")),
              F.transform(F.slice("p", F.lit(1), F.size("m")), lambda x: F.length(x).cast("long")))
     texts = texts.select("row", F.explode(F.arrays_zip(sizes[0].alias("n"), running_sums(sizes[0]).alias("to"),

@@ -398,6 +398,92 @@ def test_context_discovers_numbers_in_groups_and_plain_names(spark):
     assert not any(got[x] for x in t[-2:])
 
 
+def words_and_places(t):
+    """[(word, word to its neighbours, start, end or None for what is left of an overlapped seed)], from the definition."""
+    import regex
+    t, at, masked = t or "", 0, []
+    seeds = sorted((s, i, e, k) for i, (k, v) in enumerate(personal(t).items()) for s, e in v)
+    pieces = []  # text between seeds, and seeds
+    for s, _, e, k in seeds:
+        if e > at:
+            pieces += [(t[at:max(s, at)], at, None), (t[max(s, at):e], max(s, at), k if s >= at else "rest")]
+            at = e
+    pieces.append((t[at:], at, None))
+    word = regex.compile(r"""(?:[^ \t\n\x0B\f\r:,;()<>"'=\[\]{}|!?*#&]++(?:(?<=[0-9]) (?=[0-9]))?+)++|[:,;()<>"'=\[\]{}|!?*#&]""")
+    for text, begin, kind in pieces:
+        if kind:
+            masked.append((("seed", None if kind == "rest" else text.lower()), f"<{kind}>", None, None))
+            continue
+        for m in word.finditer(text.lower()):
+            left = len(m[0]) - len(m[0].lstrip("._%/-"))
+            bare = m[0][left:].rstrip("._%+/-@")
+            ok = regex.search(r"[\p{L}\p{N}]", bare)
+            masked.append(((None, bare if ok else None), regex.sub("[1-9]", "0", m[0]), begin + m.start() + left,
+                           begin + m.start() + left + len(bare)))
+    return masked
+
+
+def discovered(texts, support=5, specific=0.5, confidence=0.9):
+    """{text index: spans} found by trusted patterns, kept as plain sets and searched from the start in every round."""
+    found, in_pattern = defaultdict(set), defaultdict(list)
+    for d, t in enumerate(texts):
+        ws = words_and_places(t)
+        shown = ["", "", *(w[1] for w in ws), ""]
+        for i, ((seed, bare), _, a, b) in enumerate(ws):
+            pats = [("B", shown[i + 1], shown[i + 3])] + [("L", shown[i], shown[i + 1])] * (i > 0)
+            for p in pats:
+                if bare is not None:
+                    in_pattern[p].append(((seed, bare), d, a, b))
+    known = {x for occ in in_pattern.values() for x, *_ in occ if x[0]}
+    looked, trusted = set(), set()
+    while True:
+        before = len(known), len(looked)
+        for p, occ in in_pattern.items():
+            if len({x for x, *_ in occ if x in known}) >= support and \
+                    sum(x in known for x, *_ in occ) >= specific * len(occ):
+                looked.add(p)
+        grew = True
+        while grew:
+            grew = False
+            for p in looked - trusted:
+                xs = {x for x, *_ in in_pattern[p]}
+                if len(xs & known) >= support and len(xs & known) >= confidence * len(xs):
+                    trusted.add(p)
+                    known |= xs
+                    grew = True
+        if before == (len(known), len(looked)):
+            break
+    for p in trusted:
+        for (seed, _), d, a, b in in_pattern[p]:
+            if not seed:
+                found[d].add((a, b))
+    return found
+
+
+def test_discovery_against_brute_force(spark):
+    """Chains of contexts: what seeds teach, what the found ones teach, contexts too mixed to look up or to trust."""
+    rng = random.Random(6)
+    t = [None, "", "login:"]
+    for i in range(500):
+        t.append(f"Reach me at user{i}@mail.example.com, or {rng.choice(['fax', 'desk'])}: +1 (602) 555-{9000 + i}")
+    for i in range(36):
+        t.append(f"reach me at zulu{i}x, day {i} login: zulu{i}x; see \"zulu{i}x\"")   # known by the first, teaches the login
+    t += ["day 7 login: bob.smith- ok", "day 8 login: 12 345 678", "the login: name", "tabs\tday\n9   login: Éva77!"]
+    t += [f"a word w{i} here 10.0.0.{i}" for i in range(30)] + [f"in the w{i} of" for i in range(40)] + ["in the 1.2.3.4 of"] * 3
+    t += [f"mixed ctx v{i % 8} end" for i in range(8)] + [f"mixed ctx m{i}@a.bc end" for i in range(9)]
+    t += ["overlap a@b.c+1 (602) 555-9305 4078918989542222 On reach me at 日本語 now", "é" * 3000 + " reach me at  𝒳long-one. " + "z " * 3000]
+    want = {d: sorted(v) for d, v in discovered(t).items()}
+    assert sum(map(len, want.values())) > 12 and any("bob.smith" == t[d][a:b] for d, v in want.items() for a, b in v)
+    assert not any(t[d].startswith(("mixed", "in the", "a word")) for d in want)
+    df = spark.createDataFrame(list(enumerate(t)), "doc_id long, text string").repartition(4)
+    got = {}
+    for r in pii.find_personal_data(df).collect():
+        spans = sorted((s["start"], s["end"]) for s in r["spans"] if s["kind"] == "context")
+        if spans:
+            got[r["doc_id"]] = spans
+    assert got == want
+
+
 def test_redaction(spark):
     t = personal_texts()[:11] + ["é" * 5000 + " a@b.co " + "ñ" * 9000 + " 10.0.0.1"]
     df = spark.createDataFrame([(i, x, 7, "b") for i, x in enumerate(t)], "doc_id long, text string, n_chars int, base string")
