@@ -50,6 +50,8 @@ BROADCAST_ROWS = 500_000
 SUPPORT, SPECIFIC = 5, 0.5
 #: It is trusted if this share of its different instances is known.
 CONFIDENCE = 0.9
+#: Words in patterns are counted in shares of the texts that end at these 64ths.
+SHARES = (1, 8, 64)
 
 SPACES = r" \t\n\x0B\f\r"
 #: Stand alone as words.
@@ -259,27 +261,53 @@ def settle(pairs: DataFrame, known: DataFrame, support: int = SUPPORT, confidenc
         known = materialise(known.unionByName(pairs.join(_few(trusted), "pattern", "left_semi").select("instance")).distinct())
 
 
+def count_words(scanned: DataFrame, patterns: DataFrame, specific: float) -> DataFrame:
+    """(pattern, n, exact) of (pattern, n_known): the words in each pattern, or, with ``exact`` false, a number of them
+    that is too many already.
+
+    Texts are counted in growing shares, and only patterns that may still be specific go on to the next. So a context that
+    is common anywhere costs its words in the smallest share, however often it occurs in all.
+    """
+    left, done = patterns.select("pattern", "n_known", F.lit(0).cast("long").alias("n")), None
+    share = F.pmod(F.xxhash64("row"), F.lit(SHARES[-1]))
+    for lo, hi in zip((0, *SHARES), SHARES, strict=False):
+        got = occurrences(scanned.where((share >= lo) & (share < hi)), words=False).join(
+            _few(left.select("pattern")), "pattern").where(instance_of(F.col("word")).isNotNull())
+        got = got.groupBy("pattern").agg(F.count("*").alias("more"))
+        left = materialise(left.join(got, "pattern", "left").select(
+            "pattern", "n_known", (F.col("n") + F.coalesce("more", F.lit(0))).alias("n")))
+        fits = F.col("n_known") >= specific * F.col("n")
+        out = left.where(~fits).select("pattern", "n", F.lit(False).alias("exact"))
+        done = out if done is None else done.unionByName(out)
+        left = left.where(fits)
+        if left.isEmpty():
+            return done
+    return done.unionByName(left.select("pattern", "n", F.lit(True).alias("exact")))
+
+
 def discover(scanned: DataFrame, support: int = SUPPORT, specific: float = SPECIFIC, confidence: float = CONFIDENCE) -> DataFrame:
     """(row, i, instance) of the words that are no seeds and stand in a trusted pattern; ``scanned``: row, source, items."""
     seeds = occurrences(scanned.where(F.size("items") > 0)).where(is_seed(F.col("word"))).select(
         "pattern", instance_of(F.col("word")).alias("instance"))
     known_in = materialise(seeds.where("instance IS NOT NULL").groupBy("pattern", "instance").agg(F.count("*").alias("n")))
     known = materialise(known_in.select("instance").distinct())
-    counted, looked, hits = None, None, None
+    counts, looked, hits = None, None, None
     while True:
-        # patterns of enough known instances, counted in the texts where they are new
+        # patterns of enough known instances, counted in the texts unless too many words are known to stand in them
         of = materialise(known_in.groupBy("pattern").agg(F.count("*").alias("k"), F.sum("n").alias("n_known")).where(
-            F.col("k") >= support))
-        new = of.select("pattern") if counted is None else of.join(counted, "pattern", "left_anti").select("pattern")
-        new = materialise(new)
-        if not new.isEmpty():
-            total = occurrences(scanned, words=False).join(_few(new), "pattern").where(instance_of(F.col("word")).isNotNull()).groupBy(
-                "pattern").agg(F.count("*").alias("n"))
-            total = materialise(total)
-            counted = total if counted is None else counted.unionByName(total)
-        if counted is None:
+            F.col("k") >= support).drop("k"))
+        todo = of
+        if counts is not None:
+            todo = of.join(counts, "pattern", "left").where(
+                F.coalesce(~F.col("exact"), F.lit(True)) & (F.col("n_known") >= specific * F.coalesce("n", F.lit(0)))).select(
+                "pattern", "n_known")
+        todo = materialise(todo)
+        if not todo.isEmpty():
+            new = count_words(scanned, todo, specific)
+            counts = materialise(new if counts is None else counts.join(todo, "pattern", "left_anti").unionByName(new))
+        if counts is None:
             break
-        fit = of.join(counted, "pattern").where(F.col("n_known") >= specific * F.col("n")).select("pattern")
+        fit = of.join(counts.where("exact"), "pattern").where(F.col("n_known") >= specific * F.col("n")).select("pattern")
         fit = materialise(fit if looked is None else fit.join(looked, "pattern", "left_anti"))
         if fit.isEmpty():
             break
