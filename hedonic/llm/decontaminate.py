@@ -34,7 +34,10 @@ ONE_WORD_IN = 20
 BLOCK_CHARS = 16_000_000
 #: Characters of documents in one shard; a longer document is a shard of its own.
 SHARD_CHARS = 4_000_000
+#: Matches measured together.
+BLOCK_MATCHES = 1 << 18
 
+_POWERS = W.Powers(0x9FB21C651E98DF25)
 MATCH = "array<struct<item_id:string,item_word:int,doc_word:long,n_words:int>>"
 
 
@@ -177,46 +180,90 @@ def reduce_text(w: W.Words, items: Items) -> tuple[np.ndarray, np.ndarray]:
     return seq, word
 
 
+def common_words(seq: np.ndarray, at: np.ndarray, items: Items, pos: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Words that the shard from ``at`` and an item from ``pos`` have in common, ``least`` of which are known, within the
+    item: by bisection over 64-bit hashes of beginnings (they only measure matches that were found by comparing)."""
+    up, down = _POWERS.get(max(len(seq), len(items.seq)) + 1)
+    sums = []
+    for x in (seq, items.seq):
+        acc = np.zeros(len(x) + 1, np.uint64)
+        np.cumsum(W.mix(x.astype(np.uint64) + np.uint64(1)) * up[:len(x)], dtype=np.uint64, out=acc[1:])
+        sums.append(acc)
+    rest = np.zeros(len(items.seq), np.int64)
+    rest[items.pos] = items.rest
+    out = least.copy()
+    for i in range(0, len(at), BLOCK_MATCHES):
+        a, p = at[i:i + BLOCK_MATCHES], pos[i:i + BLOCK_MATCHES]
+        lo, hi = least[i:i + BLOCK_MATCHES].copy(), np.minimum(rest[p], len(seq) - a)
+        while (lo < hi).any():
+            mid = (lo + hi + 1) // 2
+            same = (sums[0][a + mid] - sums[0][a]) * down[a] == (sums[1][p + mid] - sums[1][p]) * down[p]
+            lo, hi = np.where(same, mid, lo), np.where(same, hi, mid - 1)
+        out[i:i + BLOCK_MATCHES] = lo
+    return out
+
+
+def ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the range, value) of all values lo to hi - 1."""
+    n = np.maximum(hi - lo, 0)
+    which = np.repeat(np.arange(len(n)), n)
+    return which, np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+
+
 def search(texts: list, items: Items):
-    """Per document: words, hit words (boolean array) and matches (item index, item word, document word, words)."""
+    """Words of each document, hit words of all (boolean array), and the matches as arrays
+    (document, item index, item word, document word, words), by document.
+
+    Equal windows are one interval of the suffix array. Its places are marked together; and of the pairs of an item's
+    window and a place only those are listed that differ in the word before, where a longest match begins. So a word
+    repeated in both costs its windows and its longest matches, not the product of its windows.
+    """
     data, at = W.join_texts(texts)
     w = W.split(W.LOWER[data], at, W.ALNUM)
-    n = w.counts
-    hit = np.zeros(len(w.start), bool)
-    matches: list[list] = [[] for _ in texts]
+    edge = np.zeros(len(w.start) + 1, np.int64)
+    found = [tuple(np.zeros(0, np.int64) for _ in range(3))]  # place in the shard, place in the items, words
     seq, word = reduce_text(w, items)
     if len(seq):
-        depth = int(items.rest.max(initial=1))
-        sa = suffix_array(seq, depth)
+        sa = suffix_array(seq, int(items.rest.max(initial=1)))
         best = longest(seq, sa, items)
         use = np.flatnonzero((items.window > 0) & (best >= items.window))
-        pos, size = items.pos[use], items.window[use]
-        lo = bound(seq, sa, items.seq, pos, size, False)
-        hi = bound(seq, sa, items.seq, pos, size, True)
-        count = hi - lo
-        q = np.repeat(np.arange(len(use)), count)
-        place = sa[np.repeat(lo - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())] if len(q) else q
-        at_word, span = word[place], size[q]
-        edge = np.zeros(len(hit) + 1, np.int64)
-        np.add.at(edge, at_word, 1)
-        np.add.at(edge, at_word + span, -1)
-        hit = np.cumsum(edge[:-1]) > 0
-        # windows one after the other on one diagonal are one match
-        item, item_word = items.item_at[pos[q]], pos[q]
-        order = np.lexsort((at_word, at_word - item_word, item))
-        item, item_word, at_word, span = item[order], item_word[order], at_word[order], span[order]
-        if len(item):
-            doc = np.searchsorted(w.first, at_word, side="right") - 1
-            new = np.r_[True, (item[1:] != item[:-1]) | (at_word[1:] - at_word[:-1] != 1)
-                        | (item_word[1:] - item_word[:-1] != 1) | (doc[1:] != doc[:-1])]
-            s = np.flatnonzero(new)
-            e = np.r_[s[1:], len(item)] - 1
-            item_first = np.full(len(items.ids), np.iinfo(np.int64).max)
-            np.minimum.at(item_first, items.item_at[items.pos], items.pos)
-            for a, b in zip(s, e, strict=True):
-                matches[doc[a]].append((int(item[a]), int(item_word[a] - item_first[item[a]]),
-                                        int(at_word[a] - w.first[doc[a]]), int(at_word[b] + span[b] - at_word[a])))
-    return n, [hit[w.first[i]:w.first[i + 1]] for i in range(len(texts))], matches
+        for span in np.unique(items.window[use]):
+            pos = items.pos[use[items.window[use] == span]]
+            size = np.full(len(pos), span)
+            lo = bound(seq, sa, items.seq, pos, size, False)
+            hi = bound(seq, sa, items.seq, pos, size, True)
+            first, one, which = np.unique(lo, return_index=True, return_inverse=True)  # equal windows, once
+            which = which.reshape(-1)
+            group, rank = ranges(first, hi[one])
+            place = sa[rank]
+            np.add.at(edge, word[place], 1)
+            np.add.at(edge, word[place] + span, -1)
+            before = np.where(place > 0, seq[place - 1], 0)
+            key = group * (len(items.vocab) + 1) + before
+            order = np.argsort(key, kind="stable")
+            key, place = key[order], place[order]
+            begin = np.searchsorted(group, np.arange(len(first) + 1))
+            mine = np.where(pos > 0, items.seq[pos - 1], 0)
+            a, b = begin[which], begin[which + 1]
+            same = which * (len(items.vocab) + 1) + mine
+            lo_same = np.where(mine > 0, np.searchsorted(key, same, side="left"), a)
+            hi_same = np.where(mine > 0, np.searchsorted(key, same, side="right"), a)
+            for x, y in ((a, lo_same), (hi_same, b)):
+                q, at_place = ranges(x, y)
+                found.append((place[at_place], pos[q], size[q]))
+    place, pos, least = (np.concatenate(x) for x in zip(*found, strict=True))
+    if len(place):
+        words = common_words(seq, place, items, pos, least)
+        at_word = word[place]
+        doc = np.searchsorted(w.first, at_word, side="right") - 1
+        item = items.item_at[pos]
+        item_first = np.full(len(items.ids), np.iinfo(np.int64).max)
+        np.minimum.at(item_first, items.item_at[items.pos], items.pos)
+        order = np.lexsort((at_word, item, doc))
+        matches = tuple(x[order] for x in (doc, item, pos - item_first[item], at_word - w.first[doc], words))
+    else:
+        matches = tuple(place for _ in range(5))
+    return w.counts, w.first, np.cumsum(edge[:-1]) > 0, matches
 
 
 def _blocks(bench: DataFrame, item_id: str, text: str, limit: int) -> Iterator[list[tuple]]:
@@ -233,6 +280,19 @@ def _blocks(bench: DataFrame, item_id: str, text: str, limit: int) -> Iterator[l
         yield [tuple(r) for r in rows.where(key == k).collect()]
 
 
+def _add_matches(old: pa.ListArray, found: list[tuple], items: Items, kind: pa.ListType) -> pa.ListArray:
+    """The lists of earlier blocks of the benchmark with the new matches behind them."""
+    row, item, *places = (np.concatenate(x) for x in zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 5
+    ids = pa.array(items.ids, pa.string()).take(pa.array(item))
+    columns = [ids, *(pa.array(p).cast(f.type) for p, f in zip(places, list(kind.value_type)[1:], strict=True))]
+    new = pa.StructArray.from_arrays(columns, fields=list(kind.value_type))
+    size = old.value_lengths().fill_null(0).to_numpy()
+    every = pa.concat_arrays([old.flatten().cast(kind.value_type), new])
+    of = np.concatenate([np.repeat(np.arange(len(old)), size), row])
+    at = np.r_[0, np.cumsum(np.bincount(of, minlength=len(old)))].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(at), every.take(pa.array(np.argsort(of, kind="stable")))).cast(kind)
+
+
 def find_contamination(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: str = "item_id",
                        item_text: str = "text", window: int = WINDOW, block_chars: int = BLOCK_CHARS,
                        keep: list[str] | None = None) -> DataFrame:
@@ -263,23 +323,20 @@ def find_contamination(docs: DataFrame, bench: DataFrame, text: str = "text", it
         def scan(parts: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
             for part in parts:
-                texts, earlier, old = (part.column(c).to_pylist() for c in ("body", "spans", "matches"))
-                hits, match, count = [], [], []
+                texts, earlier = (part.column(c).to_pylist() for c in ("body", "spans"))
+                hits, count, found = [], [], []
                 for lo, hi in W.batches(texts, SHARD_CHARS):
-                    n, hit, m = search(texts[lo:hi], items)
+                    n, first, every, m = search(texts[lo:hi], items)
                     count += n.tolist()
+                    found.append((m[0] + lo, *m[1:]))
                     for i in range(hi - lo):
-                        before = earlier[lo + i] or []
+                        hit, before = every[first[i]:first[i + 1]], earlier[lo + i] or []
                         for s, e in zip(before[0::2], before[1::2], strict=True):
-                            hit[i][s:e] = True
-                        edge = np.flatnonzero(np.diff(np.r_[False, hit[i], False]))
-                        hits.append(edge.tolist())
-                        match.append((old[lo + i] or []) + [
-                            dict(zip(("item_id", "item_word", "doc_word", "n_words"), (items.ids[x[0]], *x[1:]),
-                                     strict=True)) for x in m[i]])
-                new = {"spans": hits, "matches": match, "n_words": count}
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(new[c], arrow[c]) if c in new else part.column(c) for c in base], names=base)
+                            hit[s:e] = True
+                        hits.append(np.flatnonzero(np.diff(np.r_[False, hit, False])))
+                new = {"spans": pa.array(hits, arrow["spans"]), "n_words": pa.array(count, arrow["n_words"]),
+                       "matches": _add_matches(part.column("matches"), found, items, arrow["matches"])}
+                yield pa.RecordBatch.from_arrays([new.get(c, part.column(c)) for c in base], names=base)
 
         out = out.mapInArrow(scan, out.schema)
     edges = F.coalesce(F.col("spans"), F.array().cast("array<bigint>"))

@@ -109,6 +109,44 @@ def test_matches_are_verbatim_and_maximal(spark, items):
     assert (4, 1, 21) in found and any(a == 0 and b == 23 for a, b, _ in found)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_matches_against_brute_force(seed):
+    """Longest matches of texts over few words, where windows repeat in items and documents."""
+    rng = random.Random(seed)
+    say = lambda n, k: " ".join(rng.choice("abc"[:k]) for _ in range(n))
+    items = [(str(i), say(rng.randint(0, 40), rng.randint(1, 3))) for i in range(6)] + [(None, "a a a"), ("9", "b " * 30)]
+    texts = [None, "", *(say(rng.randint(1, 60), rng.randint(1, 3)) for _ in range(12)), "a q " * 5 + "b " * 40]
+    n, first, hit, m = decontaminate.search(texts, decontaminate.prepare(items, 13))
+    want = Counter()
+    for d, t in enumerate(texts):
+        x = (t or "").split()
+        for i, (_, it) in enumerate(items):
+            y = it.split()
+            least = min(13, len(y))
+            for p in range(len(y) - least + 1 if y else 0):
+                for q in range(len(x) - least + 1):
+                    k = 0
+                    while p + k < len(y) and q + k < len(x) and y[p + k] == x[q + k]:
+                        k += 1
+                    if k >= least and not (p and q and y[p - 1] == x[q - 1]):
+                        want[d, i, p, q, k] += 1
+    assert Counter(zip(*(a.tolist() for a in m), strict=True)) == want and want
+    found = contamination(texts, items)
+    assert [(c, int(hit[first[i]:first[i + 1]].sum())) for i, c in enumerate(n)] == [x[:2] for x in found]
+
+
+def test_a_word_repeated_in_item_and_document():
+    """Windows x occurrences would be five thousand million pairs."""
+    import tracemalloc
+    items = decontaminate.prepare([("1", "x " * 5000)], 13)
+    tracemalloc.start()
+    n, first, hit, m = decontaminate.search(["x " * 1_000_000], items)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n.tolist() == [1_000_000] and hit.all() and peak < 1_500_000_000
+    assert len(m[0]) == 1_000_000 - 12 + 5000 - 13 and m[4].max() == 5000 and (m[4] >= 13).all()
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_suffix_array(seed):
     rng = np.random.default_rng(seed)
