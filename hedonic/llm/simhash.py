@@ -298,9 +298,16 @@ def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **option
     rows = materialise(add_fingerprints(inner.df, inner.name(text), inner.kept, shingle)
                        .withColumn("row", F.monotonically_increasing_id()))
     found = classes(rows.select(key, "fp"), key, distance).select(F.col("fp").alias("of"), "root")
-    light = rows.select(F.col("row").alias("at"), F.col(key).alias("id"), "fp").join(found, F.col("fp") == F.col("of"))
-    first = light.groupBy("root").agg(F.count("*").alias("n"), F.min(F.struct(F.isnull("id"), "id", "at")).alias("first"))
-    drop = light.join(first.where("n > 1"), "root").where(F.col("at") != F.col("first.at")).select("at")
+    light = rows.select(F.col("row").alias("at"), F.col(key).alias("id"), "fp")
+    # the first row of each fingerprint, then of each component; both minima are taken before the shuffle, and lists go
+    # to the rows while they are small, so no task gets all rows of a fingerprint or component
+    per = light.groupBy("fp").agg(F.count("*").alias("n"), F.min(F.struct(F.isnull("id"), "id", "at")).alias("first"))
+    per = materialise(per.join(found, F.col("fp") == F.col("of")).select("fp", "root", "n", "first"))
+    shared = per.groupBy("root").agg(F.sum("n").alias("n"), F.min("first").alias("best")).where("n > 1").select(
+        "root", F.col("best.at").alias("kept"))
+    shared = per.select("fp", "root").join(bounded_broadcast(materialise(shared), BROADCAST_ROWS), "root")
+    shared = bounded_broadcast(materialise(shared.select("fp", "kept")), BROADCAST_ROWS)
+    drop = light.join(shared, "fp").where(F.col("at") != F.col("kept")).select("at")
     # a list of row numbers: while it is small it goes to the texts, else the texts are shuffled
     drop = bounded_broadcast(materialise(drop), BROADCAST_ROWS)
     return inner.close(rows.join(drop, F.col("row") == F.col("at"), "left_anti"))
