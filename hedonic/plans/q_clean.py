@@ -197,9 +197,9 @@ def house_selection(spark, sf_dir):
 SELECT DISTINCT o_orderkey AS _id, o_totalprice AS Sp_dol, o_totalprice * 0.97::DOUBLE AS Lp_dol,
        CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS Cd, o_orderpriority AS Addr
 FROM orders
-WHERE o_orderstatus <> 'P' AND o_totalprice > 50000""")
+WHERE o_totalprice > 50000""")
 def condo_cleaning(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") != "P")
+    o = table(spark, sf_dir, "orders")
     cd = o.select(F.col("o_orderkey").alias("_id"), F.col("o_totalprice").alias("Sp_dol"),
                   (F.col("o_totalprice") * 0.97).alias("Lp_dol"), F.col("o_orderdate").alias("Cd"),
                   F.col("o_orderpriority").alias("Addr"))
