@@ -109,6 +109,22 @@ def nearby_sold_count(spark, sf_dir):
     return R.nearby_count(e, e)
 
 
+@query("nearby_recent_sales", "J4 with the 200-day cut", """
+WITH o AS (SELECT o_orderkey AS _id, 43 + (o_custkey % 97) * 0.01::DOUBLE AS lat, -79 + (o_orderkey % 89) * 0.01::DOUBLE AS lng,
+                  CAST(o_orderdate AS DATE) AS d, o_orderstatus AS s FROM orders),
+i AS (SELECT lat, lng FROM o WHERE s = 'F' AND d >= (SELECT max(d) FROM o WHERE s = 'F') - 200)
+SELECT t._id, count(i.lat) AS nearby FROM (SELECT * FROM o WHERE s <> 'F') t LEFT JOIN i
+       ON i.lat >= t.lat - 0.027::DOUBLE AND i.lat <= t.lat + 0.027::DOUBLE
+      AND i.lng >= t.lng - 0.037::DOUBLE AND i.lng <= t.lng + 0.037::DOUBLE GROUP BY t._id""")
+def nearby_recent_sales(spark, sf_dir):
+    """Open listings against the sales of the 200 days before the last sale; every order is one or the other."""
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("_id"), (F.lit(43) + F.pmod("o_custkey", F.lit(97)) * F.lit(0.01)).alias("lat"),
+        (F.lit(-79) + F.pmod("o_orderkey", F.lit(89)) * F.lit(0.01)).alias("lng"), "o_orderdate", "o_orderstatus")
+    sold = F.col("o_orderstatus") == "F"
+    return R.nearby_count(o.where(~sold), o.where(sold), date_col="o_orderdate")
+
+
 def _emb(spark, sf_dir):
     emb = table(spark, sf_dir, "embeddings")
     return emb.select(F.col("vec_id").alias("_id"), F.col("embedding")[0].cast("double").alias("lat"),

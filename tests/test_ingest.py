@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,3 +42,52 @@ def test_gate_and_repeated_batch(spark, tmp_path):
     rejected = {r["source_file"]: (r["reason"], r["n_rows"]) for r in spark.read.parquet(bad).collect()}
     assert rejected == {"Sold#3.csv": ("missing: b", 1), "Sold#4.csv": ("no rows", 0),
                         "Sold#5.csv": ("no header", 0), "Other.csv": ("bad name", 1)}
+
+
+def test_compaction_survives_replays_and_stops(spark, tmp_path, monkeypatch):
+    from hedonic.sources.files import read_slices
+    from hedonic.streaming import compaction as K
+    paths = tuple(f"{tmp_path}/{n}" for n in ("shards", "slices", "manifest"))
+    how = {"date_col": "d", "key": "k", "tie_col": "v"}
+
+    def shard(n, *rows):
+        df = spark.createDataFrame(list(rows), "k string, d string, v int, file_ts string")
+        return K.write_shard(df, n, paths[0], paths[2])
+
+    def slices():
+        return sorted((r["slice_id"], r["k"], r["v"]) for r in read_slices(spark, paths[1]).collect())
+
+    assert K.compact(spark, *paths, **how) is None
+    assert shard(0, ("a", "2024-01-01", 1, "20240101")) and K.compact(spark, *paths, **how) is None
+    assert shard(1, ("a", "2024-01-20", 2, "20240121"), ("b", "2024-01-20", 9, "20240121"))
+    assert K.compact(spark, *paths, **how) is None       # a span of exactly 20 days waits
+    assert shard(2, ("c", None, 3, "20240122"), ("a", "2024-01-20", 1, "20240122"))
+    with monkeypatch.context() as m:                     # stopped after the slice, before the manifest
+        m.setattr(K, "write_slices", lambda df, path, real=K.write_slices: real(df, path) if path == paths[1] else 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            K.compact(spark, *paths, **how)
+    want = [(0, "a", 2), (0, "b", 9), (0, "c", 3)]
+    with monkeypatch.context() as m:                     # stopped after the manifest, before the shards are removed
+        m.setattr(K, "_remove", lambda spark, path, names: None)
+        assert K.compact(spark, *paths, **how) == 0
+    assert slices() == want and K.shard_names(spark, paths[0]) == ["batch=0", "batch=1", "batch=2"]
+    assert not shard(1, ("z", "2024-03-01", 5, "20240301"))   # replayed
+    assert K.compact(spark, *paths, **how) is None
+    assert slices() == want and K.shard_names(spark, paths[0]) == []
+    assert shard(3, ("a", "2024-02-01", 7, "20240201"), ("a", "2024-03-05", 8, "20240305"))
+    assert K.compact(spark, *paths, **how) == 1
+    assert slices() == [*want, (1, "a", 8)]
+
+
+def test_nearby_sales_of_the_last_days(spark):
+    from hedonic.operators import correct as R
+    sold = spark.createDataFrame([(0.0, 0.0, "2024-07-19"), (0.027, -0.037, "2024-01-01"), (0.0, 0.0, "2023-12-31"),
+                                  (0.0, 0.0, None), (0.0, 0.0, "2024-07-20")], "lat double, lng double, d string")
+    at = spark.createDataFrame([(1, 0.0, 0.0), (2, 5.0, 5.0)], "_id int, lat double, lng double")
+
+    def count(**kw):
+        return {r["_id"]: r["nearby"] for r in R.nearby_count(at, sold, **kw).collect()}
+
+    assert count() == {1: 5, 2: 0}
+    assert count(date_col="d", as_of="2024-07-19") == {1: 2, 2: 0}
+    assert count(date_col="d") == {1: 2, 2: 0}
