@@ -1,4 +1,4 @@
-"""Structured Streaming jobs.
+"""Structured Streaming jobs (T1-T5); scoring and compaction are in modules of their own.
 
 The landing folder is a file-stream source that lists files; each
 micro-batch reads its files by their own headers with the batch readers and
@@ -87,18 +87,3 @@ def compact_shards(shards: DataFrame, date_col: str, key: str, span_days: int =
     ready = shards.crossJoin(F.broadcast(span)).where(F.col("_span") > span_days).drop("_span")
     tie = tie_col or ("file_ts" if "file_ts" in shards.columns else None)
     return dedup_latest(ready, key, date_col, tie)
-
-
-def score_stream(spark: SparkSession, landing: str, out: str, checkpoint: str, schema: T.StructType,
-                 scorer: Callable[[DataFrame], DataFrame], available_now: bool = True):
-    """Continuous scoring (T7): listing files -> ``scorer`` (static models
-    joined inside the batch) -> results by file timestamp, in a folder of the
-    batch id that a repeated batch overwrites."""
-    src = file_stream(spark, landing)
-
-    def batch(files, batch_id):
-        rows, _ = batch_rows(files, schema)
-        scorer(rows).write.mode("overwrite").partitionBy("file_ts").parquet(f"{out}/batch={batch_id}")
-    w = src.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")
-    return w.start()
