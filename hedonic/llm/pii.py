@@ -294,9 +294,9 @@ def discover(scanned: DataFrame, support: int = SUPPORT, specific: float = SPECI
     counts, looked, hits = None, None, None
     while True:
         # patterns of enough known instances, counted in the texts unless too many words are known to stand in them
-        of = materialise(known_in.groupBy("pattern").agg(F.count("*").alias("k"), F.sum("n").alias("n_known")).where(
-            F.col("k") >= support).drop("k"))
-        todo = of
+        of = materialise(known_in.groupBy("pattern").agg(F.count("*").alias("k"), F.sum("n").alias("n_known"), F.sum(
+            F.when(is_seed(F.col("instance")), F.col("n")).otherwise(0)).alias("n_seeds")).where(F.col("k") >= support).drop("k"))
+        todo = of.drop("n_seeds")
         if counts is not None:
             todo = of.join(counts, "pattern", "left").where(
                 F.coalesce(~F.col("exact"), F.lit(True)) & (F.col("n_known") >= specific * F.coalesce("n", F.lit(0)))).select(
@@ -307,7 +307,9 @@ def discover(scanned: DataFrame, support: int = SUPPORT, specific: float = SPECI
             counts = materialise(new if counts is None else counts.join(todo, "pattern", "left_anti").unionByName(new))
         if counts is None:
             break
-        fit = of.join(counts.where("exact"), "pattern").where(F.col("n_known") >= specific * F.col("n")).select("pattern")
+        # where all words are seeds there is nothing to find
+        fit = of.join(counts.where("exact"), "pattern").where(
+            (F.col("n_known") >= specific * F.col("n")) & (F.col("n") > F.col("n_seeds"))).select("pattern")
         fit = materialise(fit if looked is None else fit.join(looked, "pattern", "left_anti"))
         if fit.isEmpty():
             break
