@@ -299,6 +299,6 @@ def test_checksums_of_words():
     w = spelling.runs(texts)
     got = spelling.checksums(w, [b"1:", b"", b"22:", b":"])
     said = [w.data[s:e].tobytes() for s, e in zip(w.start, w.end, strict=True)]
-    assert [x.decode() for x in said] == ["abc", "dé" + "f" * 200, "ÀÿÖ", "x", "q" * 64, "r" * 65]
-    assert got.tolist() == [zlib.crc32(p + x) for p, x in zip([b"1:"] * 4 + [b":"] * 2, said, strict=True)]
+    assert [x.decode() for x in said] == ["abc", "dé" + "f" * 200, "ÀÿÖ×x", "q" * 64, "r" * 65]
+    assert got.tolist() == [zlib.crc32(p + x) for p, x in zip([b"1:"] * 3 + [b":"] * 2, said, strict=True)]
     assert W.strings(w.data, w.start[:0], w.end[:0]).to_pylist() == []
