@@ -11,13 +11,12 @@ from __future__ import annotations
 import functools
 import operator
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hedonic import schemas as S
 from hedonic.functions.exact import exact_medians
 from hedonic.functions.scalar import leading_number
-from hedonic.session import bounded_broadcast
 
 
 def missing_columns(columns: list[str], required: list[str] | None = None) -> list[str]:
@@ -84,22 +83,18 @@ def fit_medians(df: DataFrame, cols: list[str], zero_rows: Column) -> DataFrame:
 def fill_conditional_median(df: DataFrame, cols: list[str], zero_rows: Column,
                             medians: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Conditional fill (F6): nulls of ``zero_rows`` rows -> 0, other nulls ->
-    the median of the other rows (or the given saved medians; recomputed when
-    every saved median is 0). Returns (filled rows, medians used).
+    the median of the other rows (or the given saved medians; fitted only when
+    there are none or every saved median is 0). Returns (filled rows, medians used).
 
     The medians are a one-row table joined with a broadcast (size 1).
     """
-    fitted = fit_medians(df, cols, zero_rows)
-    if medians is None:
-        use = fitted
-    else:
-        saved = medians.select(*[F.col(f"{c}_median").alias(f"_s_{c}") for c in cols])
-        all_zero = functools.reduce(operator.and_, [F.col(f"_s_{c}") == 0 for c in cols])
-        use = saved.crossJoin(fitted).select(
-            *[F.when(all_zero, F.col(f"{c}_median")).otherwise(F.col(f"_s_{c}")).alias(f"{c}_median")
-              for c in cols])
-    med = bounded_broadcast(use, 1)
-    out = df.crossJoin(med)
+    use = medians
+    if medians is not None:
+        saved = medians.select(*[f"{c}_median" for c in cols]).first()    # one row
+        use = None if saved is None or all(v == 0 for v in saved) else medians
+    if use is None:
+        use = fit_medians(df, cols, zero_rows)
+    out = df.crossJoin(F.broadcast(use))
     for c in cols:
         fill = F.when(F.coalesce(zero_rows, F.lit(False)), F.lit(0.0)).otherwise(F.col(f"{c}_median"))
         out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), fill))
@@ -142,21 +137,23 @@ def one_hot_month(df: DataFrame, date_col: str = "Cd", names: list[str] = S.MONT
     return df.select("*", *[(m == i + 1).cast("int").alias(n) for i, n in enumerate(names)])
 
 
-def room_area(df: DataFrame, dims: list[str] = S.ROOM_DIMS, out: str = "Rooms_total_area") -> DataFrame:
-    """Total room area with unit inference (R1-R3); rows without rooms dropped.
+def room_area(df: DataFrame, dims: list[str] = S.ROOM_DIMS, out: str = "Rooms_total_area",
+              fill: float | None = None) -> DataFrame:
+    """Total room area with unit inference (R1-R3); rows without rooms dropped; null cells are ``fill`` if given.
 
     R1 sum of length x width over 12 rooms; R2 rooms = non-zero cells / 2;
     R3 piecewise unit conversion of the mean room area a:
     1 < a < 100 as is; [100, 700) / 10.7584; [700, 8000) / 100;
     [8000, 22500) / 1075.84; otherwise rooms x 25.
     """
+    cell = {c: F.col(c) if fill is None else F.coalesce(F.col(c), F.lit(fill)) for c in dims}
     lens, wths = dims[0::2], dims[1::2]
-    area = functools.reduce(operator.add, [F.col(l) * F.col(w) for l, w in zip(lens, wths)])
+    area = functools.reduce(operator.add, [cell[l] * cell[w] for l, w in zip(lens, wths)])
     # a null cell counts as non-zero, as a NaN does in the source rule
-    nonzero = functools.reduce(operator.add, [F.coalesce(F.col(c) != 0, F.lit(True)).cast("int")
+    nonzero = functools.reduce(operator.add, [F.coalesce(cell[c] != 0, F.lit(True)).cast("int")
                                               for c in dims])
     df = df.withColumn("_area", area).withColumn("_rooms", nonzero / F.lit(2.0)).where(F.col("_rooms") != 0)
-    a = F.col("_area") / F.col("_rooms")
+    a = F.try_divide(F.col("_area"), F.col("_rooms"))     # may be computed before the filter above
     conv = (F.when((a > 1) & (a < 100), F.col("_area"))
              .when((a >= 100) & (a < 700), F.col("_area") / F.lit(10.7584))
              .when((a >= 700) & (a < 8000), F.col("_area") / F.lit(100.0))
@@ -178,9 +175,18 @@ def one_hot_ranges(df: DataFrame, col: str = "Rooms_total_area", names: list[str
     return out.drop(col) if drop else out
 
 
-def drop_incomplete(df: DataFrame, drop_cols=("Lsc", "S_r")) -> DataFrame:
-    """Drop status columns, rows with any null, and duplicate rows."""
-    return df.drop(*[c for c in drop_cols if c in df.columns]).dropna("any").distinct()
+def drop_incomplete(df: DataFrame, drop_cols=("Lsc", "S_r"), distinct: bool = True,
+                    unchecked=()) -> DataFrame:
+    """Drop status columns, rows with any null (but in ``unchecked``), and (``distinct``) duplicate rows."""
+    df = df.drop(*[c for c in drop_cols if c in df.columns])
+    # a condition a column: one over all columns is copied by the optimizer for each renamed column it holds
+    for f in df.schema.fields:
+        if f.name in unchecked:
+            continue
+        df = df.where(F.col(f"`{f.name}`").isNotNull())
+        if f.dataType.typeName() in ("double", "float"):
+            df = df.where(~F.isnan(f"`{f.name}`"))
+    return df.distinct() if distinct else df
 
 
 def pick_columns(df: DataFrame, wanted: list[str]) -> DataFrame:
@@ -214,8 +220,8 @@ def trailing(df: DataFrame, col: str, days: int) -> DataFrame:
 
     The latest date is a one-row aggregate, joined with a broadcast (size 1).
     """
-    latest = bounded_broadcast(df.agg(F.max(F.col(col).cast("date")).alias("_latest")), 1)
-    return (df.crossJoin(latest)
+    latest = df.agg(F.max(F.col(col).cast("date")).alias("_latest"))
+    return (df.crossJoin(F.broadcast(latest))
               .where(F.col(col).cast("date") >= F.date_sub(F.col("_latest"), days))
               .drop("_latest"))
 
@@ -229,23 +235,18 @@ def clean_houses(df: DataFrame, kind: str = "Sold", medians: DataFrame | None =
                  communities: DataFrame | None = None, run_date=None):
     """House cleaning pipeline (T6 full rebuild when no state is given, T5
     incremental with saved medians/communities). Returns
-    (clean rows, medians, community keep-list)."""
+    (clean rows, medians, community keep-list).
+
+    Pass rows as they are read from files or written tables: the optimizer copies the condition on the 24 room
+    cells once for each of them that is a renamed expression, which also is why their nulls are filled in ``room_area``."""
     df = plausible_rows(df, kind, run_date=run_date)
-    df = fill_constants(df)
+    df = fill_constants(df, zero_cols=[c for c in S.FILL_ZERO_COLUMNS if c not in S.ROOM_DIMS])
     condo_house = F.col("Type_own1_out").isin(S.CONDO_HOUSE_LABELS)
     df, med = fill_conditional_median(df, ["Depth", "Front_ft"], condo_house, medians)
     keep = communities if communities is not None else fit_rare_buckets(df, "Community")
     df = process_columns(df, keep)
-    df = one_hot_month(df.withColumn("Cd", F.col("Cd").cast("date")))
-    df = one_hot_ranges(room_area(df)).drop(*S.ROOM_DIMS)
-    return drop_incomplete(df), med, keep
-
-
-def dedup_latest(df: DataFrame, key: str, date_col: str, tie_col: str | None = None) -> DataFrame:
-    """Keep the latest row per key (W2); ``tie_col`` breaks equal dates
-    (largest wins)."""
-    order = [F.col(date_col).desc_nulls_last()]
-    if tie_col:
-        order.append(F.col(tie_col).desc_nulls_last())
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    # the area of filled cells is never null and the flags only where their date is: nulls are looked for before them
+    df = drop_incomplete(df.withColumn("Cd", F.col("Cd").cast("date")), distinct=False, unchecked=S.ROOM_DIMS)
+    df = room_area(df, fill=0.0).drop(*S.ROOM_DIMS)
+    return one_hot_ranges(one_hot_month(df)).distinct(), med, keep
+

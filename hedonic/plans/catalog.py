@@ -38,4 +38,4 @@ def load_all() -> dict[str, Query]:
 
 
 MODULES = ["q_pairs", "q_clean", "q_slices", "q_condo", "q_neighbors", "q_evaluate", "q_encode", "q_io", "q_models",
-           "q_retrain"]
+           "q_retrain", "q_state"]
