@@ -82,6 +82,17 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_written(df: DataFrame) -> None:
+    """Remove the folder that ``materialise`` wrote for ``df``, which can't be read any more."""
+    folders = {os.path.dirname(f) for f in df.inputFiles()}
+    spark = df.sparkSession
+    for folder in folders:
+        if not os.path.basename(folder).startswith("hedonic-"):
+            raise ValueError(f"not written by materialise: {folder}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bounded_broadcast(df: DataFrame, bound: int) -> DataFrame:
     """Broadcast a side after counting it: at most ``bound`` rows.
 
