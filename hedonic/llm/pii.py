@@ -17,8 +17,8 @@ patterns of the instances that became known. Instances of trusted patterns are
 identifiers that the fixed patterns do not know; their spans are added.
 
 The texts are read without Python, once for the seeds and twice a round: to count
-the words in patterns (one sum a pattern leaves a task) and to look up those
-patterns that qualify. Without a qualifying pattern there is no second look, and
+the words in patterns not counted yet (one sum a pattern leaves a task) and to look
+up those patterns that qualify. Without a qualifying pattern there is no second look, and
 without a new instance no second round. Positions are worked out only for texts
 with a discovered instance, from prefix sums of word lengths.
 """
@@ -50,8 +50,6 @@ BROADCAST_ROWS = 500_000
 SUPPORT, SPECIFIC = 5, 0.5
 #: It is trusted if this share of its different instances is known.
 CONFIDENCE = 0.9
-#: Words in patterns are counted in shares of the texts that end at these 64ths.
-SHARES = (1, 8, 64)
 
 SPACES = r" \t\n\x0B\f\r"
 #: Stand alone as words.
@@ -261,28 +259,18 @@ def settle(pairs: DataFrame, known: DataFrame, support: int = SUPPORT, confidenc
         known = materialise(known.unionByName(pairs.join(_few(trusted), "pattern", "left_semi").select("instance")).distinct())
 
 
-def count_words(scanned: DataFrame, patterns: DataFrame, specific: float) -> DataFrame:
-    """(pattern, n, exact) of (pattern, n_known): the words in each pattern, or, with ``exact`` false, a number of them
-    that is too many already.
+def count_words(scanned: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(pattern, n): the words of all texts that stand in each of ``patterns``, in one pass.
 
-    Texts are counted in growing shares, and only patterns that may still be specific go on to the next. So a context that
-    is common anywhere costs its words in the smallest share, however often it occurs in all.
+    Words in other patterns are one group more, without a pattern, so that what the join makes is two rows a word at most
+    whatever patterns are counted.
     """
-    left, done = patterns.select("pattern", "n_known", F.lit(0).cast("long").alias("n")), None
-    share = F.pmod(F.xxhash64("row"), F.lit(SHARES[-1]))
-    for lo, hi in zip((0, *SHARES), SHARES, strict=False):
-        got = occurrences(scanned.where((share >= lo) & (share < hi)), words=False).join(
-            _few(left.select("pattern")), "pattern").where(instance_of(F.col("word")).isNotNull())
-        got = got.groupBy("pattern").agg(F.count("*").alias("more"))
-        left = materialise(left.join(got, "pattern", "left").select(
-            "pattern", "n_known", (F.col("n") + F.coalesce("more", F.lit(0))).alias("n")))
-        fits = F.col("n_known") >= specific * F.col("n")
-        out = left.where(~fits).select("pattern", "n", F.lit(False).alias("exact"))
-        done = out if done is None else done.unionByName(out)
-        left = left.where(fits)
-        if left.isEmpty():
-            return done
-    return done.unionByName(left.select("pattern", "n", F.lit(True).alias("exact")))
+    listed = _few(patterns.select("pattern", F.col("pattern").alias("listed")))
+    words = occurrences(scanned, words=False).where(instance_of(F.col("word")).isNotNull())
+    # written with that group: a condition on the pattern would move below the join
+    n = materialise(words.join(listed, "pattern", "left").groupBy("listed").agg(F.count("*").alias("n")))
+    return patterns.select("pattern").join(n, F.col("pattern") == F.col("listed"), "left").select(
+        "pattern", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def discover(scanned: DataFrame, support: int = SUPPORT, specific: float = SPECIFIC, confidence: float = CONFIDENCE) -> DataFrame:
@@ -293,22 +281,18 @@ def discover(scanned: DataFrame, support: int = SUPPORT, specific: float = SPECI
     known = materialise(known_in.select("instance").distinct())
     counts, looked, hits = None, None, None
     while True:
-        # patterns of enough known instances, counted in the texts unless too many words are known to stand in them
+        # patterns of enough known instances, each counted in the texts once
         of = materialise(known_in.groupBy("pattern").agg(F.count("*").alias("k"), F.sum("n").alias("n_known"), F.sum(
             F.when(is_seed(F.col("instance")), F.col("n")).otherwise(0)).alias("n_seeds")).where(F.col("k") >= support).drop("k"))
-        todo = of.drop("n_seeds")
-        if counts is not None:
-            todo = of.join(counts, "pattern", "left").where(
-                F.coalesce(~F.col("exact"), F.lit(True)) & (F.col("n_known") >= specific * F.coalesce("n", F.lit(0)))).select(
-                "pattern", "n_known")
-        todo = materialise(todo)
+        todo = of.select("pattern")
+        todo = materialise(todo if counts is None else todo.join(counts, "pattern", "left_anti"))
         if not todo.isEmpty():
-            new = count_words(scanned, todo, specific)
-            counts = materialise(new if counts is None else counts.join(todo, "pattern", "left_anti").unionByName(new))
+            new = count_words(scanned, todo)
+            counts = materialise(new if counts is None else counts.unionByName(new))
         if counts is None:
             break
         # where all words are seeds there is nothing to find
-        fit = of.join(counts.where("exact"), "pattern").where(
+        fit = of.join(counts, "pattern").where(
             (F.col("n_known") >= specific * F.col("n")) & (F.col("n") > F.col("n_seeds"))).select("pattern")
         fit = materialise(fit if looked is None else fit.join(looked, "pattern", "left_anti"))
         if fit.isEmpty():

@@ -436,6 +436,21 @@ def test_context_discovers_numbers_in_groups_and_plain_names(spark):
     assert not any(got[x] for x in t[-2:])
 
 
+def test_context_words_are_counted_in_all_texts(spark):
+    """Common contexts, too: whole counts in one pass, no pattern left out or cut off early, whatever the known words."""
+    t = [f"write to user{i}@mail.example.com now and write to nobody" for i in range(300)] + ["no such words", "", None]
+    df = spark.createDataFrame(list(enumerate(t)), "row long, source string")
+    scanned = pii.add_occurrences(df, "source").cache()
+    every = pii.occurrences(scanned, words=False).where(pii.instance_of(F.col("word")).isNotNull())
+    expected = dict(every.groupBy("pattern").count().collect()) | {0: 0}
+    listed = spark.createDataFrame([(p, 1) for p in expected], "pattern long, n_known long")
+    got = [tuple(r) for r in pii.count_words(scanned, listed).select("pattern", "n").collect()]
+    assert len(got) == len(expected) and dict(got) == expected and max(expected.values()) >= 300
+    few = sorted(expected)[:5]
+    got = pii.count_words(scanned, listed.where(F.col("pattern").isin(few))).collect()
+    assert {r["pattern"]: r["n"] for r in got} == {p: expected[p] for p in few}
+
+
 def words_and_places(t):
     """[(word, word to its neighbours, start, end or None for what is left of an overlapped seed)], from the definition."""
     import regex
