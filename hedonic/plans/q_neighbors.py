@@ -8,6 +8,7 @@ from hedonic.operators import condo as K
 from hedonic.operators import neighbors as N
 from hedonic.plans.catalog import query
 from hedonic.plans.q_condo import supplier_brand_frame
+from hedonic.session import materialise
 
 # value column of each of the four deterministic neighbour tables of the vote
 VOTE_VALUES = {"m_price": "Sp_dol", "m_qty": "qty", "m_retail": "retail", "m_disc": "disc"}
@@ -69,10 +70,11 @@ SELECT _id, trunc(CASE WHEN q3 <> 0 AND lp1 > q3 * 1.2::DOUBLE AND lp1 < q3 * 1.
        coalesce(nb_ratio, 0.0) AS nb_ratio, q0 AS nb_q0, coalesce(nb_q2, 0) AS nb_q2, q3 AS nb_q3 FROM a2""")
 def neighbor_vote_nudge(spark, sf_dir):
     from hedonic.session import table
-    rows = supplier_brand_frame(spark, sf_dir)
+    rows = materialise(supplier_brand_frame(spark, sf_dir))      # read by four matrices and the quantiles: one join, not one each
     edges = None
     for model, col in VOTE_VALUES.items():
-        e = N.cosine_neighbors(K.price_matrix(rows, price_col=col, min_type_count=30))
+        # written, as its width, its size and both sides of its blocks are read from it
+        e = N.cosine_neighbors(materialise(K.price_matrix(rows, price_col=col, min_type_count=30)))
         e = e.select(F.lit(model).alias("model"), "addr", "nbr")
         edges = e if edges is None else edges.unionByName(e)
     voted = N.neighbor_vote(edges)
